@@ -134,7 +134,8 @@ def phrases_found(text: Column, phrases: Sequence[str]) -> Column:
 
 
 def with_cue_columns(
-    df: DataFrame, lex: Lexicons, text: str = "text", prefix: str = "_cue_", departments: bool = True
+    df: DataFrame, lex: Lexicons, text: str = "text", prefix: str = "_cue_", departments: bool = True,
+    clean: bool = False,
 ) -> DataFrame:
     """Add the matched cues and phrases of every lexicon.
 
@@ -142,9 +143,10 @@ def with_cue_columns(
     one more the department cues; the per-lexicon columns then look only at the
     handful of hits. Columns added: ``<prefix><polarity>`` and
     ``<prefix><polarity>_ph`` for negative/hazard/positive, and one
-    ``<prefix>dep_<name>`` array per department.
+    ``<prefix>dep_<name>`` array per department. ``clean`` says that the text
+    column comes from the clean-up already, which leaves such text as it is.
     """
-    t = match_text(F.col(text))
+    t = F.col(text) if clean else match_text(F.col(text))
     df = df.withColumn(f"{prefix}text", t)
     t = F.col(f"{prefix}text")
     df = df.withColumn(f"{prefix}words", tokens(t))
@@ -191,18 +193,18 @@ def drop_cue_columns(df: DataFrame, prefix: str = "_cue_") -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(prefix)])
 
 
-def lexicon_scores(df: DataFrame, lex: Lexicons | None = None, text: str = "text") -> DataFrame:
+def lexicon_scores(df: DataFrame, lex: Lexicons | None = None, text: str = "text", clean: bool = False) -> DataFrame:
     """negative_score, hazard_score, positive_score."""
     lex = lex or Lexicons()
-    out = with_cue_columns(df, lex, text, departments=False)
+    out = with_cue_columns(df, lex, text, departments=False, clean=clean)
     out = out.withColumns({f"{n}_score": polarity_score(n) for n in lex.polarity()})
     return drop_cue_columns(out)
 
 
-def department_profile(df: DataFrame, lex: Lexicons | None = None, text: str = "text") -> DataFrame:
+def department_profile(df: DataFrame, lex: Lexicons | None = None, text: str = "text", clean: bool = False) -> DataFrame:
     """``cue_score_<dep>`` and ``cue_match_<dep>`` for every department."""
     lex = lex or Lexicons()
-    out = with_cue_columns(df, lex, text)
+    out = with_cue_columns(df, lex, text, clean=clean)
     cols: dict[str, Column] = {}
     for d in lex.departments:
         cols[f"cue_score_{d}"] = department_score(d)

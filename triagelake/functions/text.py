@@ -12,7 +12,10 @@ from pyspark.sql.types import StringType
 from .base import col, text_array
 
 # Characters that survive the clean-up (besides blanks).
-KEPT_CHARACTERS = "a-z0-9àèìòù"
+KEPT_CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789àèìòù"
+# Spelled out and not as ranges: Java tests a class of single latin-1 characters
+# with one bit lookup, several times faster than a union of ranges.
+DROPPED_RUN = f"[^{KEPT_CHARACTERS}]+"
 
 # Blanks as the Unicode standard lists them (what str.strip() removes).
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 " + "".join(
@@ -55,7 +58,7 @@ def match_text(c: Column) -> Column:
     Blanks and dropped characters both end up as separators, so one pattern
     covers a whole run of them.
     """
-    runs = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), f"[^{KEPT_CHARACTERS}]+", " ")
+    runs = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), DROPPED_RUN, " ")
     return F.trim(runs)
 
 
@@ -68,9 +71,11 @@ def clean_text(c: Column, nfkc: bool = True) -> Column:
     if not nfkc:
         return match_text(c)
     low = F.lower(F.coalesce(c, F.lit("")))
-    folded = F.coalesce(_nfkc(F.when(low.rlike(NFKC_PATTERN), low)), low)
+    # two cheap tests let most text skip the long pattern
+    suspect = low.rlike("[^\\x00-\\xff]") | low.rlike("[ª²³¹º¼½¾]")
+    folded = F.coalesce(_nfkc(F.when(suspect & low.rlike(NFKC_PATTERN), low)), low)
     # no second lower(): upper-case letters NFKC brings in are dropped like any other sign
-    return F.trim(F.regexp_replace(folded, f"[^{KEPT_CHARACTERS}]+", " "))
+    return F.trim(F.regexp_replace(folded, DROPPED_RUN, " "))
 
 
 def merge_title_body(title: Column, body: Column, body_weight: int = 2) -> Column:
@@ -89,12 +94,18 @@ def prepare_text(
     nfkc: bool = True,
     null_as: str = "",
 ) -> DataFrame:
-    """Add the model text column. ``null_as='nan'`` spells missing cells out."""
+    """Add the model text column. ``null_as='nan'`` spells missing cells out.
+
+    Cleaning the merged text equals merging the cleaned parts, since the parts
+    meet at a blank; this way the body is cleaned once and not once per copy.
+    """
     def part(name: str) -> Column:
         c = col(name).cast("string") if name in df.columns else F.lit("")
-        return F.coalesce(c, F.lit(null_as))
+        return clean_text(F.coalesce(c, F.lit(null_as)), nfkc)
 
-    return df.withColumn(out, clean_text(merge_title_body(part(title), part(body), body_weight), nfkc))
+    df = df.withColumns({"_title": part(title), "_body": part(body)})
+    t, b = F.nullif("_title", F.lit("")), F.nullif("_body", F.lit(""))
+    return df.withColumn(out, F.concat_ws(" ", t, *[b] * max(1, int(body_weight)))).drop("_title", "_body")
 
 
 def tokens(text: Column) -> Column:

@@ -1,0 +1,48 @@
+"""Which terms carried a linear model's decision."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.base import col
+
+
+def mean_coefficients(per_fold: DataFrame) -> DataFrame:
+    """Average (class, term, coef) over the folds of a calibrated ensemble."""
+    return per_fold.groupBy("class", "term").agg(F.avg("coef").alias("coef"))
+
+
+def binary_coefficients(table: DataFrame, negative: str, positive: str) -> DataFrame:
+    """One coefficient vector (term, coef) for the positive class; the other class flips the sign."""
+    both = F.array(
+        F.struct(F.lit(positive).alias("class"), F.col("coef").alias("coef")),
+        F.struct(F.lit(negative).alias("class"), (-F.col("coef")).alias("coef")),
+    )
+    return table.select("term", F.inline(both))
+
+
+def top_terms(weights: DataFrame, predictions: DataFrame, coefficients: DataFrame, keys: Sequence[str], k: int = 5) -> DataFrame:
+    """(keys..., rank, term, contribution): the k strongest terms of the predicted class.
+
+    ``weights`` is (keys..., term, weight), ``predictions`` (keys..., class),
+    ``coefficients`` (class, term, coef). Positive contributions only; a row
+    that has none takes the largest absolute ones.
+    """
+    keys = list(keys)
+    parts = weights.join(predictions, keys).join(coefficients, ["class", "term"])
+    value = F.col("weight") * F.col("coef")
+    row = Window.partitionBy(*[col(c) for c in keys])
+    parts = parts.select(*keys, "term", value.alias("_v"))
+    parts = parts.withColumn("_any", F.max(F.col("_v") > 0).over(row))
+    parts = parts.filter((F.col("_v") > 0) | ~F.col("_any")).withColumn("contribution", F.abs("_v"))
+    rank = F.row_number().over(row.orderBy(F.desc("contribution"), F.asc("term")))
+    return parts.withColumn("rank", rank).filter(F.col("rank") <= k).select(*keys, "rank", "term", "contribution")
+
+
+def explanation_column(top: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Ranked terms as one ``', '``-joined column; at most k entries per row."""
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "term")))
+    return top.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda s: s["term"]), ", ").alias(out))

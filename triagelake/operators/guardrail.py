@@ -70,7 +70,7 @@ def apply_guardrail(
         out = {confidence: row_max(probs)} if confidence in df.columns else {}
         return df.withColumns({**out, **_bookkeeping(F.lit(False), F.lit(0), F.lit(0), F.lit(""))})
 
-    out = with_cue_columns(df, lex or Lexicons(), text)
+    out = df if "_cue_text" in df.columns else with_cue_columns(df, lex or Lexicons(), text)
     out = out.withColumns({
         "_g_neg": polarity_score("negative"),
         "_g_haz": polarity_score("hazard"),
