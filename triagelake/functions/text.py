@@ -120,9 +120,13 @@ def safe_text(c: Column) -> Column:
 
 
 def _joined_windows(words: Column, n: int) -> Column:
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - F.lit(n - 1)))
-    windows = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.coalesce(windows, text_array([]))
+    # zip the words with themselves shifted by 1, 2, ...: the array is evaluated n
+    # times in all, where a lambda looking into it would do so once per word
+    out = words
+    for shift in range(1, n):
+        rest = F.slice(words, F.lit(shift + 1), F.lit(10**9))
+        out = F.zip_with(out, rest, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_compact(out)
 
 
 def word_ngrams(words: Column, low: int = 1, high: int = 2) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.base import argmax_label, col, lit_d, prefixed_classes, row_max, total
+from ..sources.materialise import materialise
 from .scoring import proba_column
 
 # Fixed value
@@ -191,6 +192,7 @@ def evaluation_facts(
 def section_metrics(facts: DataFrame, by: Sequence[str] = ("section",)) -> DataFrame:
     """Long metrics (by..., task, class, metric, value) from evaluation facts."""
     by = list(by)
+    facts = materialise(facts)  # a few counters, read by every metric below
 
     def kind(name: str) -> DataFrame:
         return facts.filter(F.col("kind") == name)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.base import col, lit_d
+from ..sources.materialise import materialise
 
 BUCKETS = 65536
 
@@ -47,11 +48,11 @@ def order_statistics(
     ``ranks`` maps a name to a function of the group's row count, or is a table
     (keys..., name, rank). Groups are label-like (classes, strata): there is one
     target row per group and name, which is what gets broadcast to find the
-    rows of the bucket concerned. The input is read once per level and once
-    more; only counters are shuffled.
+    rows of the bucket concerned. The keys and values are written out once and
+    read once per level and once more; only counters are shuffled.
     """
     keys = list(keys)
-    rows = df.select(*[col(k) for k in keys], col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    rows = materialise(df.select(*[col(k) for k in keys], col(value).alias("_v"))).filter(F.col("_v").isNotNull())
     group = keys
     if not keys:
         rows = rows.withColumn("_all", F.lit(0))
@@ -98,9 +99,10 @@ def order_statistics(
     found = counts.withColumn("_upto", upto).filter(
         (F.col("_rank") >= F.col("_upto") - F.col("_n")) & (F.col("_rank") < F.col("_upto"))
     )
-    return found.select(
+    # one row per group and name; written out so that readers do not repeat the search
+    return materialise(found.select(
         *[col(k) for k in keys], F.col("_name").alias("name"), "group_rows", F.col("_v").alias("value")
-    )
+    ))
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, q: float) -> DataFrame:

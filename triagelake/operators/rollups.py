@@ -39,17 +39,18 @@ def sla_load(
     sla_hours = SLA_HOURS if sla_hours is None else sla_hours
     capacity_per_hour = CAPACITY_PER_HOUR if capacity_per_hour is None else capacity_per_hour
     urgent = col("priority").isin(*URGENT_BANDS) if urgent is None else urgent
-    counts = (
-        df.filter(col(department).isin(*departments))
-        .groupBy(*by, col(department).alias("department"))
-        .agg(F.count("*").alias("volume"), F.count_if(urgent).alias("urgent"))
-    )
-    wanted = F.explode(F.array(*[F.lit(d) for d in departments])).alias("department")
-    if by:
-        spine = df.select(*[col(b) for b in by]).distinct().select(*[col(b) for b in by], wanted)
-    else:
-        spine = df.sparkSession.range(1).select(wanted)
-    out = spine.join(counts, [*by, "department"], "left").fillna(0, ["volume", "urgent"])
+    # One count per wanted department instead of a filter and a join: a filter on the
+    # computed department would be pushed into the scoring projections and evaluate
+    # them a second time. The department list is a short parameter.
+    here = [col(department) == F.lit(d) for d in departments]
+    counts = df.groupBy(*[col(b) for b in by]).agg(*[
+        c for i, h in enumerate(here)
+        for c in (F.count_if(h).alias(f"_v{i}"), F.count_if(h & urgent).alias(f"_u{i}"))
+    ])
+    out = counts.select(*[col(b) for b in by], F.inline(F.array(*[
+        F.struct(F.lit(d).alias("department"), F.col(f"_v{i}").alias("volume"), F.col(f"_u{i}").alias("urgent"))
+        for i, d in enumerate(departments)
+    ])))
 
     name = col("department")
     out = out.withColumns({

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.base import col, hash_hex, lit_d, require_columns
+from ..sources.materialise import materialise
 from .ranking import hex_bucket, order_statistics, range_bucket, row_ranks
 
 
@@ -25,6 +26,7 @@ def largest_remainder(counts: DataFrame, size: int | Column, keys: Sequence[str]
     ``counts`` has one row per group. Whole parts first, then one more for the
     largest remainders; equal remainders go in key order.
     """
+    counts = materialise(counts)
     size = F.lit(size) if isinstance(size, int) else size
     raw = col(count) / counts.agg(F.sum(col(count))).scalar() * size.cast("double")
     parts = counts.withColumn("quota_raw", raw).withColumn("quota", F.floor("quota_raw"))

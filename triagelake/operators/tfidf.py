@@ -31,6 +31,21 @@ def term_counts(docs: DataFrame, keys: Sequence[str], terms: Column) -> DataFram
     ).agg(F.count("*").alias("tf"))
 
 
+def char_counts(docs: DataFrame, keys: Sequence[str], text: str = "text", ngrams: tuple[int, int] = (3, 5)) -> DataFrame:
+    """(keys..., term, tf) for character n-grams inside words.
+
+    The n-grams of a word do not depend on its surroundings, so words are
+    counted first and only distinct words of a row are cut up. Both steps keep a
+    partitioning by row key.
+    """
+    names = [col(k) for k in keys]
+    words = docs.select(*names, F.explode(tokens(col(text))).alias("word")).groupBy(*keys, "word").agg(
+        F.count("*").alias("n")
+    )
+    grams = words.select(*names, "n", F.explode(char_wb_ngrams(F.array("word"), *ngrams)).alias("term"))
+    return grams.groupBy(*keys, "term").agg(F.sum("n").alias("tf"))
+
+
 def vocabulary(
     counts: DataFrame, documents: Column, min_df: int = 1, max_df: float = 1.0, max_features: int | None = None,
     copies: Column | None = None,

@@ -32,7 +32,8 @@ def class_thresholds(
     default is the mean over classes. Without any row only ``default`` = floor
     is left.
     """
-    p = df.select(col(truth).alias("class"), true_class_probability(classes, truth, task).alias("_p"))
+    known = [c for c in classes if proba_column(task, c) in df.columns]
+    p = df.select(col(truth).alias("class"), true_class_probability(known, truth, task).alias("_p"))
     found = quantiles(p, ["class"], "_p", quantile)
     spine = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("class"))
     any_row = F.coalesce(df.select(F.lit(True).alias("x")).limit(1).agg(F.max("x")).scalar(), F.lit(False))

@@ -197,8 +197,8 @@ qhat AS (SELECT score AS qhat, n FROM (SELECT score, row_number() OVER (ORDER BY
 def class_report_sql(truth: str, pred: str, source: str) -> str:
     return f"""
 , names AS (SELECT {truth} AS class FROM {source} UNION SELECT {pred} FROM {source}),
-rep AS (SELECT class, count_if({truth} = class AND {pred} = class) AS tp, count_if({truth} = class) AS support,
-  count_if({pred} = class) AS predicted FROM names, {source} GROUP BY class),
+rep AS (SELECT class, CAST(count_if({truth} = class AND {pred} = class) AS BIGINT) AS tp, CAST(count_if({truth} = class) AS BIGINT) AS support,
+  CAST(count_if({pred} = class) AS BIGINT) AS predicted FROM names, {source} GROUP BY class),
 report AS (SELECT class, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision,
   CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall,
   CASE WHEN support + predicted > 0 THEN 2 * tp / (support + predicted) ELSE 0 END AS f1, support, tp FROM rep)

@@ -104,17 +104,17 @@ SQL["priority_distribution"] = w(RISK, """
 SELECT priority, count(*) AS rows, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM risk GROUP BY priority""")
 SQL["order_priority_distribution"] = """
 SELECT o_orderstatus, o_orderpriority, count(*) AS rows, round(count(*) / sum(count(*)) OVER (PARTITION BY o_orderstatus), 6) AS share
-FROM orders GROUP BY ALL"""
+FROM orders GROUP BY o_orderstatus, o_orderpriority"""
 SQL["coverage_review_rate"] = w(RISK, """
 SELECT lang, count(*) AS rows, round(1 - avg(CAST(review AS INTEGER)), 6) AS coverage, round(avg(CAST(review AS INTEGER)), 6) AS needs_review_rate
 FROM risk GROUP BY lang""")
 SQL["guardrail_rate"] = w(GUARD, "SELECT round(avg(CAST(applied AS INTEGER)), 6) AS rate FROM guard")
 SQL["batch_kpis"] = w(RISK, """
-SELECT count(*) AS rows, count_if(priority IN ('HIGH', 'URGENT')) AS high_priority_rows,
+SELECT count(*) AS rows, CAST(count_if(priority IN ('HIGH', 'URGENT')) AS BIGINT) AS high_priority_rows,
   round(count_if(priority IN ('HIGH', 'URGENT')) / greatest(count(*), 1), 6) AS high_priority_share, round(avg(risk), 6) AS mean_risk,
-  count_if(applied) AS guardrail_rows, round(count_if(applied) / greatest(count(*), 1), 6) AS guardrail_share,
-  count_if(haz_s >= 2) AS hazard_rows, round(count_if(haz_s >= 2) / greatest(count(*), 1), 6) AS hazard_share,
-  count_if(review) AS review_rows, round(count_if(review) / greatest(count(*), 1), 6) AS review_share FROM risk""")
+  CAST(count_if(applied) AS BIGINT) AS guardrail_rows, round(count_if(applied) / greatest(count(*), 1), 6) AS guardrail_share,
+  CAST(count_if(haz_s >= 2) AS BIGINT) AS hazard_rows, round(count_if(haz_s >= 2) / greatest(count(*), 1), 6) AS hazard_share,
+  CAST(count_if(review) AS BIGINT) AS review_rows, round(count_if(review) / greatest(count(*), 1), 6) AS review_share FROM risk""")
 _LABELLED = "l AS (SELECT doc_id AS id, lang AS department, CASE WHEN toxic = 1 THEN 'neg' ELSE 'pos' END AS sentiment, lang || '__' || CASE WHEN toxic = 1 THEN 'neg' ELSE 'pos' END AS stratum, text FROM documents JOIN labels USING (doc_id))"
 SQL["dataset_profile"] = w(_LABELLED, """
 SELECT 'rows' AS dimension, 'all' AS value, count(*) AS rows FROM l
@@ -126,7 +126,7 @@ UNION ALL SELECT 'event_type', event_type, count(*) FROM events GROUP BY event_t
 
 # --- evaluation
 SQL["confusion_matrix"] = w(EVAL, """
-SELECT c.truth, count_if(pd = 'F&B') AS p_fb, count_if(pd = 'Housekeeping') AS p_hk, count_if(pd = 'Reception') AS p_rec
+SELECT c.truth, CAST(count_if(pd = 'F&B') AS BIGINT) AS p_fb, CAST(count_if(pd = 'Housekeeping') AS BIGINT) AS p_hk, CAST(count_if(pd = 'Reception') AS BIGINT) AS p_rec
 FROM (VALUES ('F&B'), ('Housekeeping'), ('Reception')) c(truth) LEFT JOIN ev ON td = c.truth GROUP BY c.truth""")
 SQL["classification_report"] = w(EVAL + class_report_sql("td", "pd", "ev"), """
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM report""")
@@ -198,12 +198,12 @@ SQL["model_compare"] = w(EVAL + _SENT, """
 SELECT section, 'sentiment' AS task, round(max(f1) FILTER (WHERE model = 'plain'), 6) AS plain, round(max(f1) FILTER (WHERE model = 'guarded'), 6) AS guarded,
   round(max(f1) FILTER (WHERE model = 'guarded') - max(f1) FILTER (WHERE model = 'plain'), 6) AS delta FROM ms GROUP BY section""")
 _DELTA = _TASKS + _SENT + """
-, dep AS (SELECT section, avg(f1) AS f1 FROM rp WHERE task = 'department' GROUP BY section),
+, dep_f1 AS (SELECT section, avg(f1) AS f1 FROM rp WHERE task = 'department' GROUP BY section),
 rev_rate AS (SELECT section, avg(CAST(review AS INTEGER)) AS r FROM ev GROUP BY section),
 sec(section) AS (VALUES ('quality'), ('other'), ('absent')),
-both_runs AS (SELECT s.section, a.f1 AS a_f1, b.f1 AS b_f1, a.rn AS a_rn, b.rn AS b_rn, a.rp AS a_rp, b.rp AS b_rp, dep.f1 AS df, r.r AS rr
+both_runs AS (SELECT s.section, a.f1 AS a_f1, b.f1 AS b_f1, a.rn AS a_rn, b.rn AS b_rn, a.rp AS a_rp, b.rp AS b_rp, dep_f1.f1 AS df, r.r AS rr
   FROM sec s LEFT JOIN ms a ON a.section = s.section AND a.model = 'guarded' LEFT JOIN ms b ON b.section = s.section AND b.model = 'plain'
-  LEFT JOIN dep ON dep.section = s.section LEFT JOIN rev_rate r ON r.section = s.section),
+  LEFT JOIN dep_f1 ON dep_f1.section = s.section LEFT JOIN rev_rate r ON r.section = s.section),
 cell AS (
   SELECT section, 'department_f1' AS metric, coalesce(df, 0) AS before, coalesce(df, 0) AS after FROM both_runs
   UNION ALL SELECT section, 'sentiment_f1', coalesce(b_f1, 0), coalesce(a_f1, 0) FROM both_runs
@@ -230,7 +230,7 @@ SELECT source, round(max(f1) FILTER (WHERE section = 'quality' AND task = 'depar
   round(max(f1) FILTER (WHERE section = 'other' AND task = 'sentiment'), 6) AS safety_sentiment_f1 FROM f GROUP BY source""")
 
 
-def split_sql(source: str, key: str, stratum: str, share: float, seed: int, tag: str = "") -> str:
+def split_sql(source: str, key: str, stratum: str, share: float, seed: int, tag: str = "0") -> str:
     """Stratified hold-out by lowest seeded md5; relation ``held<tag>`` has is_test."""
     return f"""
 h{tag} AS (SELECT *, md5(CAST({key} AS VARCHAR) || '-{seed}') AS hx{tag}, {stratum} AS st{tag} FROM {source}),
@@ -290,8 +290,8 @@ SQL["conformal_eval"] = w(_APS_SETS, """
 SELECT truth, count(*) AS rows, round(avg(CAST(hit AS INTEGER)), 6) AS coverage, round(avg(size), 6) AS avg_set_size FROM sets GROUP BY truth""")
 
 # --- splits and set operations
-SQL["stratified_split"] = w(_LABELLED + "," + split_sql("l", "id", "stratum", 0.20, 42), "SELECT id, is_test FROM held")
-SQL["stratified_split_orders"] = w(split_sql("orders", "o_orderkey", "o_orderstatus || '__' || o_orderpriority", 0.2, 7), "SELECT o_orderkey FROM held WHERE is_test")
+SQL["stratified_split"] = w(_LABELLED + "," + split_sql("l", "id", "stratum", 0.20, 42), "SELECT id, is_test FROM held0")
+SQL["stratified_split_orders"] = w(split_sql("orders", "o_orderkey", "o_orderstatus || '__' || o_orderpriority", 0.2, 7), "SELECT o_orderkey FROM held0 WHERE is_test")
 SQL["three_way_split"] = w(
     _LABELLED + "," + split_sql("l", "id", "stratum", 0.20, 42, "1")
     + ", rest AS (SELECT id, stratum FROM held1 WHERE NOT is_test)," + split_sql("rest", "id", "stratum", 0.20, 43, "2"), """
