@@ -12,7 +12,9 @@ from ..functions.lexicon import (
     department_profile, lexicon_scores, lexicon_scores_by_join, lexicon_table, negated, sentinel_text, unmatched_words,
 )
 from ..functions.text import clean_text, merge_title_body, safe_text, tokens
-from ..operators import active, comparison, conformal, evaluation, explain, novelty, rollups, splits, tfidf
+from ..operators import (
+    active, comparison, conformal, evaluation, explain, generate, models, novelty, rollups, splits, tfidf,
+)
 from ..operators.guardrail import apply_guardrail
 from ..operators.presentation import presentation_view
 from ..operators.ranking import quantiles
@@ -22,6 +24,7 @@ from ..operators.scoring import align_probabilities
 from ..operators.thresholds import class_thresholds
 from ..plans import driver_tables as given
 from ..sources.documents import normalise_thresholds
+from ..sources.materialise import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -627,3 +630,113 @@ def token_explanations(spark, sf):
         weights.withColumn("weight", F.round("weight", 6)), d.select("id", F.col("lang").alias("class")), coefs, ["id"], 5
     )
     return r6(top.select("id", "rank", "term", "contribution"), "contribution")
+
+
+# --- generation and noise ----------------------------------------------------------
+
+@query
+def label_noise(spark, sf):
+    """Order lines relabelled: department by line number, sentiment by return flag."""
+    rows = given.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
+        F.get(F.array(*[F.lit(d) for d in generate.DEPARTMENTS]), F.pmod("l_linenumber", F.lit(3)).cast("int")).alias("department"),
+        F.when(F.col("l_returnflag") == "R", "neg").otherwise("pos").alias("sentiment"),
+    )
+    noisy = generate.label_noise(rows, 42, "noisy")
+    return noisy.groupBy("department", "sentiment").agg(F.count("*").alias("rows"), F.min("id").alias("first_id"))
+
+
+@query
+def typo_noise(spark, sf):
+    """Typos in the documents, with frequent words of theirs as the misspelt ones."""
+    d = given.reviews(spark, sf).select("id", "body")
+    return generate.typo_noise(d, 42, level=0.3, phrases=TYPO_PHRASES, words=TYPO_WORDS)
+
+
+TYPO_PHRASES = (("of the", "ofthe"), ("de la", "dela"))
+TYPO_WORDS = {"the": "teh", "with": "wiht", "les": "lse", "und": "udn"}
+
+
+@query
+def synthetic_reviews(spark, sf):
+    """One review per order, profile of the noisy benchmark."""
+    ids = given.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    return generate.synthetic_reviews(ids, 42, "noisy")
+
+
+@query
+def synthetic_safety_reviews(spark, sf):
+    ids = given.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
+    return generate.safety_reviews(ids, 446)
+
+
+@query
+def synthetic_family_profile(spark, sf):
+    """Label profile of the whole benchmark family, one row set per customer."""
+    ids = given.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    family = generate.benchmark_family(ids)
+    return family.groupBy("section", "department", "sentiment").agg(F.count("*").alias("rows"))
+
+
+# --- trained models ------------------------------------------------------------------
+
+def _training(spark, sf):
+    """Labelled documents with text, split 60/20/20-like by label pair."""
+    d = given.labelled_reviews(spark, sf)
+    d = given.prepare_text(d).select("id", "text", "department", "sentiment")
+    return materialise(splits.three_way_split(d, splits.joint_stratum("department", "sentiment")))
+
+
+@query
+def train_eval_baseline(spark, sf):
+    """Calibrated word model of the language label: fitted, thresholds derived, tested."""
+    d = _training(spark, sf)
+    train = d.filter("split = 'train'")
+    vectors = models.fit_text_vectors(train, models.Features("word", (1, 2), 2, 0.98, 1 << 15))
+    model = models.fit_calibrated(vectors.transform(train), "department", "department", max_iter=30)
+    test = model.transform(vectors.transform(d.filter("split = 'test'")))
+    report = evaluation.class_report(evaluation.confusion_counts(test, "department", "pred_department"))
+    return r6(report.select("class", "precision", "recall", "f1", "support"), "precision", "recall", "f1")
+
+
+@query
+def calibrated_scores(spark, sf):
+    """Class probabilities of a calibrated character model of the toxic label on the test rows."""
+    d = _training(spark, sf)
+    train = models.task_text(d.filter("split = 'train'"), "sentiment")
+    vectors = models.fit_text_vectors(train, models.Features("char_wb", (3, 4), 3, 0.98, 1 << 14))
+    model = models.fit_calibrated(
+        vectors.transform(train), "sentiment", "sentiment", weights=models.SENTIMENT_CLASS_WEIGHTS["logistic"], max_iter=20
+    )
+    test = models.task_text(d.filter("split = 'test'"), "sentiment")
+    out = model.transform(vectors.transform(test)).select("id", "pred_sentiment", "proba_sentiment_neg", "proba_sentiment_pos")
+    return r6(out, "proba_sentiment_neg", "proba_sentiment_pos")
+
+
+@query
+def stacked_ensemble(spark, sf):
+    d = _training(spark, sf)
+    model = models.fit_stacked(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "department", "department", max_iter=10, vocabulary_size=1 << 14)
+    test = model.transform(d.filter("split = 'test'"))
+    report = evaluation.class_report(evaluation.confusion_counts(test, "department", "pred_department"))
+    return r6(report.select("class", "precision", "recall", "f1", "support"), "precision", "recall", "f1")
+
+
+@query
+def embedding_classifier(spark, sf):
+    """Calibrated logistic model on the given vectors, tested on a stratified hold-out."""
+    e = given.table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("label").cast("string").alias("truth"), "embedding"
+    )
+    rows = models.embedding_vectors(splits.stratified_split(e, F.col("truth")), "embedding").drop("embedding")
+    model = models.fit_calibrated(rows.filter(~F.col("is_test")), "route", "truth", c=1.0, max_iter=50)
+    out = model.transform(rows.filter("is_test")).select("id", "truth", "pred_route", "route_confidence")
+    return r6(out, "route_confidence")
+
+
+@query
+def model_calibration_probe(spark, sf):
+    """Sigmoid against isotonic for the toxic label."""
+    d = _training(spark, sf)
+    out = models.calibration_probe(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "sentiment", "sentiment", max_iter=20)
+    return r6(out, "accuracy", "ece", "brier")

@@ -386,3 +386,46 @@ v AS (SELECT id, term, round(w, 6) * coef AS v FROM un JOIN co USING (lang, term
 a AS (SELECT *, bool_or(v > 0) OVER (PARTITION BY id) AS any_pos FROM v),
 r AS (SELECT id, term, abs(v) AS contribution, row_number() OVER (PARTITION BY id ORDER BY abs(v) DESC, term) AS rank FROM a WHERE v > 0 OR NOT any_pos)""", """
 SELECT id, CAST(rank AS INTEGER) AS rank, term, round(contribution, 6) AS contribution FROM r WHERE rank <= 5""")
+
+# --- generation and noise
+def draw_sql(key: str, salt: str) -> str:
+    """Uniform draw from the first 32 bits of a seeded md5."""
+    return f"(('0x' || substring(md5({key} || '-{salt}'), 1, 8))::BIGINT / {d(2.0**32)})"
+
+
+def other_sql(value: str, values: tuple[str, ...], draw: str) -> str:
+    cases = []
+    for v in values:
+        rest = [x for x in values if x != v]
+        cases.append(f"WHEN '{v}' THEN ([{q(rest)}])[CAST(floor({draw} * {len(rest)}) AS INTEGER) + 1]")
+    return f"CASE {value} {' '.join(cases)} END"
+
+
+_DEPS3 = ("Housekeeping", "Reception", "F&B")
+SQL["label_noise"] = w(f"""
+x AS (SELECT l_orderkey || '-' || l_linenumber AS id, ([{q(_DEPS3)}])[l_linenumber % 3 + 1] AS dep,
+  CASE WHEN l_returnflag = 'R' THEN 'neg' ELSE 'pos' END AS sent FROM lineitem),
+y AS (SELECT id, CASE WHEN {draw_sql('id', '42-dep')} < {d(0.10)} THEN {other_sql('dep', _DEPS3, draw_sql('id', '42-dep_to'))} ELSE dep END AS department,
+  CASE WHEN {draw_sql('id', '42-sent')} < {d(0.18)} THEN CASE sent WHEN 'pos' THEN 'neg' ELSE 'pos' END ELSE sent END AS sentiment FROM x)""", """
+SELECT department, sentiment, count(*) AS rows, min(id) AS first_id FROM y GROUP BY ALL""")
+
+
+def typo_sql(phrases, words, level: float) -> str:
+    steps, prev = [], "rev"
+    for i, (right, wrong) in enumerate(phrases):
+        steps.append(f"""p{i} AS (SELECT id, CASE WHEN contains(body, '{right}') AND {draw_sql('CAST(id AS VARCHAR)', f'42-phrase{i}')} < {d(level)}
+  THEN substring(body, 1, instr(body, '{right}') - 1) || '{wrong}' || substring(body, instr(body, '{right}') + {len(right)}) ELSE body END AS body FROM {prev})""")
+        prev = f"p{i}"
+    cases = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in words.items())
+    return TXT.strip() + ", " + ",\n".join(steps) + f""",
+sp AS (SELECT id, list_filter(regexp_split_to_array(body, '\\s+'), lambda x: x <> '') AS ws FROM {prev}),
+ew AS (SELECT id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM sp),
+bw AS (SELECT id, w, i, lower(trim(w, '.,;:!?')) AS b, CASE WHEN right(w, 1) IN ('.', ',', ';', ':', '!', '?') THEN right(w, 1) ELSE '' END AS tail FROM ew),
+nw AS (SELECT id, i, CASE WHEN b IN ({q(list(words))}) AND {draw_sql("id || ':' || (i - 1)", '42-word')} < {d(level)} THEN CASE b {cases} END || tail ELSE w END AS w FROM bw),
+jn AS (SELECT s.id, coalesce(string_agg(w, ' ' ORDER BY i), '') AS t FROM sp s LEFT JOIN nw USING (id) GROUP BY s.id)
+SELECT id, CASE WHEN contains(t, ',') AND {draw_sql('CAST(id AS VARCHAR)', '42-comma')} < {d(level)}
+  THEN substring(t, 1, instr(t, ',') - 1) || substring(t, instr(t, ',') + 1) ELSE t END AS body FROM jn"""
+
+
+SQL["typo_noise"] = "WITH " + typo_sql(
+    (("of the", "ofthe"), ("de la", "dela")), {"the": "teh", "with": "wiht", "les": "lse", "und": "udn"}, 0.3)
