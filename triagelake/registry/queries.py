@@ -703,12 +703,12 @@ def train_eval_baseline(spark, sf):
 def calibrated_scores(spark, sf):
     """Class probabilities of a calibrated character model of the toxic label on the test rows."""
     d = _training(spark, sf)
-    train = models.task_text(d.filter("split = 'train'"), "sentiment")
+    train = materialise(models.task_text(d.filter("split = 'train'"), "sentiment"))
     vectors = models.fit_text_vectors(train, models.Features("char_wb", (3, 4), 3, 0.98, 1 << 14))
     model = models.fit_calibrated(
         vectors.transform(train), "sentiment", "sentiment", weights=models.SENTIMENT_CLASS_WEIGHTS["logistic"], max_iter=20
     )
-    test = models.task_text(d.filter("split = 'test'"), "sentiment")
+    test = materialise(models.task_text(d.filter("split = 'test'"), "sentiment"))
     out = model.transform(vectors.transform(test)).select("id", "pred_sentiment", "proba_sentiment_neg", "proba_sentiment_pos")
     return r6(out, "proba_sentiment_neg", "proba_sentiment_pos")
 
@@ -729,7 +729,7 @@ def embedding_classifier(spark, sf):
         F.col("vec_id").alias("id"), F.col("label").cast("string").alias("truth"), "embedding"
     )
     rows = models.embedding_vectors(splits.stratified_split(e, F.col("truth")), "embedding").drop("embedding")
-    model = models.fit_calibrated(rows.filter(~F.col("is_test")), "route", "truth", c=1.0, max_iter=50)
+    model = models.fit_calibrated(rows.filter(~F.col("is_test")), "route", "truth", c=1.0, max_iter=25)
     out = model.transform(rows.filter("is_test")).select("id", "truth", "pred_route", "route_confidence")
     return r6(out, "route_confidence")
 
