@@ -211,8 +211,9 @@ def synthetic_reviews(ids: DataFrame, seed: int, profile: str = "train", key: st
         ),
     }).drop("_other")
     if p["noise"] > 0:
-        noisy = typo_noise(rows.withColumn("_plain", col("body")), seed)
-        rows = noisy.withColumn("body", F.when(draw("noise") < p["noise"], col("body")).otherwise(col("_plain"))).drop("_plain")
+        # rows without noise go through as null, which costs the noise step nothing
+        gated = rows.withColumns({"_plain": col("body"), "body": F.when(draw("noise") < p["noise"], col("body"))})
+        rows = typo_noise(gated, seed).withColumn("body", F.coalesce("body", "_plain")).drop("_plain")
     return label_noise(rows, seed, profile).select("id", "title", "body", "department", "sentiment")
 
 
