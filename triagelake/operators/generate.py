@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.base import col, hash_hex, lit_d, text_array, uniform
+from ..sources.materialise import materialise
 from .ranking import hex_bucket, row_ranks
 
 DEPARTMENTS = ("Housekeeping", "Reception", "F&B")
@@ -146,12 +147,13 @@ def typo_noise(
     surrounding punctuation and case; one trailing sign is kept.
     """
     draw = lambda salt: uniform(col(key), f"{seed}-{salt}")
-    c = col(text)
     for i, (right, wrong) in enumerate(phrases):
+        # one projection per phrase: nested in a single expression, the text would be repeated over and over
+        c = col(text)
         at = F.instr(c, F.lit(right))
         swapped = F.concat(F.substring(c, F.lit(1), at - 1), F.lit(wrong), F.substring(c, at + len(right), F.length(c)))
-        c = F.when((at > 0) & (draw(f"phrase{i}") < level), swapped).otherwise(c)
-    df = df.withColumn("_words", F.filter(F.split(c, r"\s+"), lambda w: w != ""))
+        df = df.withColumn(text, F.when((at > 0) & (draw(f"phrase{i}") < level), swapped).otherwise(c))
+    df = df.withColumn("_words", F.filter(F.split(col(text), r"\s+"), lambda w: w != ""))
     table = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
 
     def one(w: Column, i: Column) -> Column:
@@ -214,7 +216,9 @@ def synthetic_reviews(ids: DataFrame, seed: int, profile: str = "train", key: st
         # rows without noise go through as null, which costs the noise step nothing
         gated = rows.withColumns({"_plain": col("body"), "body": F.when(draw("noise") < p["noise"], col("body"))})
         rows = typo_noise(gated, seed).withColumn("body", F.coalesce("body", "_plain")).drop("_plain")
-    return label_noise(rows, seed, profile).select("id", "title", "body", "department", "sentiment")
+    # a generated set is made once and read often; written out, later filters on its
+    # text do not pull the whole generation into their conditions
+    return label_noise(materialise(rows), seed, profile).select("id", "title", "body", "department", "sentiment")
 
 
 def safety_reviews(ids: DataFrame, seed: int, key: str = "id", corpus: Corpus | None = None) -> DataFrame:
