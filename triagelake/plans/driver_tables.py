@@ -138,5 +138,6 @@ def route_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     e = e.withColumns({f"_e{c}": F.exp(lit_d(20.0) * dot(c)) for c in ROUTE_CLASSES})
     e = e.withColumn("_sum", total([F.col(f"_e{c}") for c in ROUTE_CLASSES]))
-    e = attach_scores(e, "route", {c: F.col(f"_e{c}") / F.col("_sum") for c in ROUTE_CLASSES})
+    # nine places: sums in another order must not move a score across a conformal cut
+    e = attach_scores(e, "route", {c: F.round(F.col(f"_e{c}") / F.col("_sum"), 9) for c in ROUTE_CLASSES})
     return e.drop("embedding", "_model", "_sum", *[f"_e{c}" for c in ROUTE_CLASSES])

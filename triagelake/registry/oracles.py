@@ -176,7 +176,7 @@ ROUTE = """
 cells AS (SELECT vec_id, CAST(label AS VARCHAR) AS truth, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
 cen AS (SELECT truth AS c, i, avg(CAST(x AS DOUBLE)) AS m FROM cells GROUP BY ALL),
 dots AS (SELECT vec_id, truth, c, exp(20 * sum(CAST(x AS DOUBLE) * m)) AS e FROM cells JOIN cen USING (i) GROUP BY ALL),
-route AS (SELECT vec_id, truth, c, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM dots),
+route AS (SELECT vec_id, truth, c, round(e / sum(e) OVER (PARTITION BY vec_id), 9) AS p FROM dots),
 rmax AS (SELECT vec_id, any_value(truth) AS truth, max(p) AS conf, min(c) FILTER (WHERE p = mx) AS pred
   FROM (SELECT *, max(p) OVER (PARTITION BY vec_id) AS mx FROM route) GROUP BY vec_id),
 ranked AS (SELECT *, row_number() OVER w AS r, sum(p) OVER w AS mass FROM route
