@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import adaptive_quality, license_index, url_rules, weighted_mix
+from . import adaptive_quality, group_join, license_index, suffix_merge, url_rules, weighted_mix
 from .shared import table
 
 
+def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_join.linked(table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scanned(table(spark, sf_dir, "documents"))
 
@@ -16,6 +20,10 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
 
 
+def op7_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_merge.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_mix.mix_of(table(spark, sf_dir, "documents"))
 
@@ -24,4 +32,4 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_license_scan, op6_url_rules, op8_weighted_mix, op10_adaptive_quality)}
+QUERIES = {f.__name__: f for f in (op3_group_join, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op10_adaptive_quality)}
