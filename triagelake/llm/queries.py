@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import adaptive_quality, group_join, license_index, suffix_merge, url_rules, weighted_mix
+from . import adaptive_quality, group_join, legacy_archive, license_index, packing, suffix_merge, url_rules, weighted_mix
 from .shared import table
 
 
+def op1_legacy_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legacy_archive.archived(table(spark, sf_dir, "pages"))
+
+
 def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_join.linked(table(spark, sf_dir, "documents"))
 
@@ -28,8 +33,17 @@ def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_mix.mix_of(table(spark, sf_dir, "documents"))
 
 
+def byte_bpe() -> packing.Encoder:
+    """The tokenizer of the packing query; the paths are those of the installed files."""
+    return packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), byte_bpe)
+
+
 def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_group_join, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op10_adaptive_quality)}
+QUERIES = {f.__name__: f for f in (op1_legacy_archive, op3_group_join, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op9_packing, op10_adaptive_quality)}
