@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import adaptive_quality, group_join, legacy_archive, license_index, packing, suffix_merge, url_rules, weighted_mix
+from . import adaptive_quality, group_join, legacy_archive, license_index, packing, rp_forest, suffix_merge, url_rules, weighted_mix
 from .shared import table
 
 
@@ -13,6 +12,10 @@ def op1_legacy_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy_archive.archived(table(spark, sf_dir, "pages"))
 
 
+def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_join.linked(table(spark, sf_dir, "documents"))
 
@@ -35,6 +38,8 @@ def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def byte_bpe() -> packing.Encoder:
     """The tokenizer of the packing query; the paths are those of the installed files."""
+    import public_tokenizers
+
     return packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -46,4 +51,4 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_legacy_archive, op3_group_join, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op9_packing, op10_adaptive_quality)}
+QUERIES = {f.__name__: f for f in (op1_legacy_archive, op2_rp_forest, op3_group_join, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op9_packing, op10_adaptive_quality)}
