@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import adaptive_quality, group_join, legacy_archive, license_index, packing, rp_forest, suffix_merge, url_rules, weighted_mix
+from . import adaptive_quality, block_crf, group_join, legacy_archive, license_index, packing, rp_forest, suffix_merge, url_rules, weighted_mix
 from .shared import table
 
 
@@ -20,6 +20,10 @@ def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_join.linked(table(spark, sf_dir, "documents"))
 
 
+def op4_block_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_crf.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scanned(table(spark, sf_dir, "documents"))
 
@@ -51,4 +55,4 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_legacy_archive, op2_rp_forest, op3_group_join, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op9_packing, op10_adaptive_quality)}
+QUERIES = {f.__name__: f for f in (op1_legacy_archive, op2_rp_forest, op3_group_join, op4_block_crf, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op9_packing, op10_adaptive_quality)}
