@@ -44,7 +44,9 @@ TEMPLATES = [
 #: Words of the templates that are too common to be looked up.
 COMMON = "a and any are by for forms in into is of or the this to use with without 0 2 3 4 copy person source".split()
 #: Every mandatory or base phrase holds one of these; other documents hold no template.
-GATES = ["license", "licence", "hereby granted", "redistribution and use", "this software", "unencumbered", "cc by", "cc-by", "cc "]
+GATES = ["license", "licence", "hereby", "redistribution", "unencumbered", "distribute", "cc by", "cc-by"]
+#: The same for words with other characters between them.
+GATE_PATTERN = "cc[^a-z0-9]+by"
 LOOKED_UP = 12
 #: Share of a template's words that must stand in place.
 LEAST = 0.5
@@ -83,6 +85,7 @@ def gated_words(text: Column) -> Column:
     gate = lowered.contains(GATES[0])
     for g in GATES[1:]:
         gate = gate | lowered.contains(g)
+    gate = gate | lowered.rlike(GATE_PATTERN)
     return F.when(gate, F.regexp_extract_all(ascii_lower(text), F.lit(LOWERED_WORD), F.lit(0)))
 
 
@@ -93,6 +96,11 @@ def idf_of(rows: DataFrame, total: int) -> dict[str, float]:
     return {w: (total + 1) / (found.get(w, 0) + 1) for w in VOCABULARY}
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value computed once a row: inside a lambda, a column expression is computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def places_of(words: Column) -> Column:
     """Array of (word position, label) of the base phrases, in order of position."""
     last = {tuple(_words(p)): label for p, label in BASE.items()}
@@ -115,7 +123,8 @@ def matches_of(words: Column, idf: dict[str, float]) -> Column:
     """Array of (label, score) of the verified templates."""
     ranked = sorted(VOCABULARY, key=lambda w: (-idf[w], w))  # rarest first: the order in which a document's words are chosen
     chosen = F.slice(F.array_intersect(_array(ranked), words), 1, LOOKED_UP)
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(chosen, x["w"]))
+    placed = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    hits = bound(chosen, lambda c: F.filter(placed, lambda x: F.array_contains(c, x["w"])))
     postings, templates = _postings(), _templates()
     begins = F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(postings, h["w"]), lambda p: F.struct(p["k"].alias("k"), (h["i"] - p["i"]).alias("begin")))))
 
