@@ -146,14 +146,14 @@ def _keys(order: Order, column: pa.Array) -> tuple:
 
 
 def classified(documents: DataFrame, order: Order) -> DataFrame:
-    """(doc_id, n, k, g): set size, class and group of each document; k and g are null for empty sets."""
+    """(doc_id, r, n, k, g): set size, class and group of each document; k and g are null for empty sets."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in K.slices(batches, 1):
-            k, g, n, *_ = _keys(order, batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g))], names=["doc_id", "n", "k", "g"])
+        for batch in K.slices(batches, 2):
+            k, g, n, *_ = _keys(order, batch.column(2))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g))], names=["doc_id", "r", "n", "k", "g"])
 
-    return documents.select("doc_id", "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, n long, k long, g long")
+    return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long")
 
 
 def prefix_index(documents: DataFrame, order: Order) -> DataFrame:
@@ -218,10 +218,11 @@ LINKED = f"{DEN} * common >= {NUM} * (na + nb - common)"
 
 
 def joined(documents: DataFrame) -> DataFrame:
-    """documents (doc_id, text) -> doc_id, n_shingles, component_id, class_key."""
+    """documents (doc_id, text) -> doc_id, r, n_shingles, component_id, stays; r is the hash of doc_id and text, and `stays` the
+    r of the one document of the component that stays: the smallest doc_id's."""
     order = Order(*frequent_shingles(documents))
     members = written(classified(documents, order), "join-members")
-    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low")), "join-classes")
+    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays")), "join-classes")
     groups = classes.groupBy("g").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.min("n").alias("n"))
     entries = shared_entries(prefix_index(documents, order))
     # a group of several classes is an entry of its own
@@ -255,12 +256,21 @@ def joined(documents: DataFrame) -> DataFrame:
     two = verified(documents, pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
     roots = components(links.union(two.where(LINKED).select("a", "b")))
 
-    placed = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "low", F.coalesce("root", "k").alias("root"))
-    low = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = placed.join(low, "root").select("k", "component_id")
-    return members.join(labels, "k", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.col("k").alias("class_key"))
+    placed = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "low", "stays", F.coalesce("root", "k").alias("root"))
+    low = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.min("stays")["r"].alias("stays"))
+    labels = placed.select("k", "root").join(low, "root").select("k", "component_id", "stays")
+    return members.join(labels, "k", "left").select("doc_id", "r", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "stays")
 
 
 def linked(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id."""
     return joined(own_columns(documents, ["doc_id", "text"])).select("doc_id", "n_shingles", "component_id")
+
+
+def representatives(documents: DataFrame) -> DataFrame:
+    """One document of each component with all its columns: that of the smallest doc_id. Documents without words all stay."""
+    found = joined(own_columns(documents, ["doc_id", "text"]))
+    keep = found.where("n_shingles = 0 OR r = stays").select("r", (F.col("n_shingles") > 0).alias("one")).distinct()
+    rows = documents.select(F.xxhash64("doc_id", "text").alias("r"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")).join(keep, "r")
+    # of fully repeated rows one; for unique rows the window has one row each, in the join's own partitions
+    return rows.withColumn("i", F.row_number().over(Window.partitionBy("r").orderBy("r"))).where("i = 1 OR NOT one").select("row.*")

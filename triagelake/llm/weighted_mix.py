@@ -94,3 +94,17 @@ def mixed(documents: DataFrame, seed: int = 0, keep: list[str] | None = None) ->
 def mix_of(documents: DataFrame, seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target, taken."""
     return mixed(own_columns(documents, ["doc_id", "text", "source"]), seed).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
+    """The mix itself, with all columns: each document once for each whole taking, and its first words for a partial one.
+    n_chars, where there is one, follows the text."""
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    chosen = mixed(documents.select("doc_id", "text", "source", row), seed, ["row"]).where("taken > 0")
+    space = "\\x20\\x09-\\x0D"
+    words = F.split("row.text", f"(?<=[^{space}])(?=[{space}])")  # each word with the white space before it
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    texts = F.concat(F.array_repeat("row.text", F.floor(F.col("taken") / F.col("size")).cast("int")), F.when(rest > 0, F.array(F.array_join(F.slice(words, 1, rest), ""))).otherwise(F.array().cast("array<string>")))
+    out = chosen.select("row", F.explode(texts).alias("part"))
+    kinds = dict(documents.dtypes)
+    return out.select(*[F.col("part").alias("text") if c == "text" else F.length("part").cast(kinds[c]).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c) for c in documents.columns])
