@@ -352,6 +352,7 @@ def merge_bucket(rows: pa.Table) -> pa.Table:
 def hot_repeats(runs: DataFrame) -> DataFrame:
     """Windows of hot prefixes, dealt by their digests -> (h, s, first, last), a row for each repeated window."""
     suffixes = runs.where("bucket < 0").groupBy("h", "s").agg((F.max("twice") | (F.count("*") > 1)).alias("twice"), F.first("windows").alias("windows"))
+    suffixes = written(suffixes, "suffix-hot")  # read twice below
     rows = suffixes.select("h", "s", "twice", F.posexplode("windows").alias("first", "w"))
     again = rows.groupBy("h", "w").agg(F.count("*").alias("n"), F.max("twice").alias("t")).where("n > 1 OR t").select("h", "w")
     return rows.join(again, ["h", "w"]).select("h", "s", F.col("first").cast("int"), F.col("first").cast("int").alias("last"))
