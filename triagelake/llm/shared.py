@@ -14,8 +14,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), one inside the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named in spark.checkpoint.dir; where that is unset (tests), the context's own or one inside the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/shared").rstrip("/")
 
 
