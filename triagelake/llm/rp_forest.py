@@ -4,7 +4,7 @@ Every vector gets one more component that gives all the same length (queries get
 is the smallest angle. A tree splits at the median of the projections on the difference of two random vectors; it is fitted
 on SAMPLE rows at most (those with the smallest hashes), and every row is then put into one leaf of each tree. A query looks
 for its leaves through one priority queue over all trees, nearest margin first, and visits PROBES of them; that is a fixed
-share of the corpus, so recall doesn't fall as it grows. Candidates are scored exactly in double precision.
+share of the leaves, so recall doesn't fall as it grows. Candidates are scored exactly in double precision.
 
 Leaves are worked off in blocks of BLOCK rows and QUERY_BLOCK queries, so a leaf that holds a frequent vector many times is
 spread over tasks; equal vectors are scored once.
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from .shared import own_columns, written
 
 K_NEAREST = 20
-TREES, DEPTH, PROBES = 4, 6, 96
+#: Levels of a tree at most; fewer where the sample has under LEAST_LEAF rows for each leaf.
+TREES, DEPTH, PROBES, LEAST_LEAF = 4, 6, 96, 64
 #: Rows that the trees are fitted on, at most; rows of a leaf's block; queries of a block.
 SAMPLE, BLOCK, QUERY_BLOCK = 20_000, 4096, 2048
 SEED = 7
@@ -40,7 +41,8 @@ class Forest:
         self.longest = longest
         points = self.lifted(sample)
         rng = np.random.default_rng(SEED)
-        inner = (1 << DEPTH) - 1
+        self.depth = min(DEPTH, max(0, (len(sample) // LEAST_LEAF).bit_length() - 1))
+        self.inner = inner = (1 << self.depth) - 1
         self.normals = np.zeros((TREES, inner, points.shape[1]))
         self.cuts = np.zeros((TREES, inner))
         for t in range(TREES):
@@ -70,16 +72,16 @@ class Forest:
         for t in range(TREES):
             sides = points @ self.normals[t].T > self.cuts[t]
             at = np.zeros(len(x), np.int64)
-            for _ in range(DEPTH):
+            for _ in range(self.depth):
                 at = 2 * at + 1 + sides[np.arange(len(x)), at]
-            out[:, t] = (t << DEPTH) + at - ((1 << DEPTH) - 1)
+            out[:, t] = (t << self.depth) + at - self.inner
         return out
 
     def visited(self, queries: np.ndarray) -> list[list[int]]:
         """The PROBES leaves of each query, by one queue over all trees: the worst margin on the way to a node is its rank."""
         directed = queries / np.linalg.norm(queries, axis=1)[:, None]
         margins = np.einsum("qd,tid->qti", directed, self.normals[:, :, :-1]) - self.cuts
-        inner, out = (1 << DEPTH) - 1, []
+        inner, out = self.inner, []
         for m in margins:
             queue = [(0.0, t, 0) for t in range(TREES)]
             found: list[int] = []
@@ -91,7 +93,7 @@ class Forest:
                     near, far = (2 * i + 2, 2 * i + 1) if margin > 0 else (2 * i + 1, 2 * i + 2)
                     heapq.heappush(queue, (max(worst, abs(margin)), t, far))
                     i = near
-                found.append((t << DEPTH) + i - inner)
+                found.append((t << self.depth) + i - inner)
             out.append(found)
         return out
 
@@ -134,7 +136,7 @@ def nearest(embeddings: DataFrame, every: int = 20, k: int = K_NEAREST) -> DataF
     kind = "leaf long, id long, v array<double>"
     index = rows.select(F.col("vec_id").cast("long"), "v").mapInArrow(place, kind)
     queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").cast("long"), "v").mapInArrow(route, kind)
-    # TREES * 2**DEPTH rows
+    # TREES * 2**DEPTH rows at most
     count = lambda df, name, size: df.groupBy("leaf").agg(F.ceil(F.count("*") / size).alias(name))
     blocks = F.broadcast(written(count(index, "blocks", BLOCK).join(count(queries, "query_blocks", QUERY_BLOCK), "leaf"), "forest-blocks"))
     part = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(n)).alias(n)
