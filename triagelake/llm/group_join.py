@@ -186,32 +186,39 @@ def shared_entries(index: DataFrame) -> DataFrame:
     return split.select("token", "g", "place", "partner").union(hot.join(F.broadcast(ends), "token").select("token", "g", "place", "partner"))
 
 
-def verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """pairs (a, b) of classes -> a, b, na, nb, common."""
-    pairs = written(pairs, "join-pairs")
-    shared = documents.sparkSession.sparkContext.broadcast(bit_table(pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct(), BITS))
+def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """pairs (a, b) of classes -> a, b, na, nb, common, from the texts of one document of each class. Texts travel instead of
+    sets, which are larger and don't compress."""
+    of = lambda name: classes.select(F.col("k").alias(name), F.col("stays.r").alias(f"r{name}"))
+    pairs = written(pairs.join(of("a"), "a").join(of("b"), "b"), "join-pairs")
+    shared = documents.sparkSession.sparkContext.broadcast(bit_table(pairs.select(F.explode(F.array("ra", "rb")).alias("r")).distinct(), BITS))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in K.slices(batches, 0):
-            sets, at = shingle_sets(batch.column(0))
-            k = set_keys(sets, at)
-            maybe = maybe_in(shared.value, k) & (np.diff(at) > 0)
+        seen: set[int] = set()  # fully repeated rows of this partition
+        for batch in batches:
+            rows = batch.column(0).to_numpy(zero_copy_only=False)
             keep = []
-            for i in np.flatnonzero(maybe):
-                if k[i] not in seen:
-                    seen.add(k[i])
+            for i in np.flatnonzero(maybe_in(shared.value, rows.view(np.uint64))):
+                if rows[i] not in seen:
+                    seen.add(rows[i])
                     keep.append(i)
             if keep:
-                offsets = np.concatenate([[0], np.cumsum(np.diff(at)[keep])]).astype(np.int32)
-                values = np.concatenate([sets[at[i] : at[i + 1]] for i in keep]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)[keep]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["k", "s"])
+                yield batch.take(pa.array(keep, pa.int64()))
+
+    texts = documents.select(F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, "r long, text string")
+    with_b = pairs.join(texts.select(F.col("r").alias("rb"), F.col("text").alias("tb")), "rb")
+    both = with_b.join(texts.select(F.col("r").alias("ra"), F.col("text").alias("ta")), "ra").select("a", "b", "ta", "tb")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for half in K.slices(batches, 2):
+            for batch in K.slices(iter([half]), 3):
+                (x, x_at), (y, y_at) = (shingle_sets(batch.column(c)) for c in (2, 3))
+                x_rows, y_rows = K.rows_of(x_at), K.rows_of(y_at)
+                key, at, _ = np.intersect1d(x ^ K.mixed(x_rows + 1), y ^ K.mixed(y_rows + 1), assume_unique=True, return_indices=True)
+                counts = np.bincount(x_rows[at], minlength=batch.num_rows)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c.astype(np.int64)) for c in (np.diff(x_at), np.diff(y_at), counts))], names=["a", "b", "na", "nb", "common"])
 
-    # of copies in different tasks one set is taken; keys are hashes, so no group is large
-    sets = written(documents.select("text").mapInArrow(scan, "k long, s array<long>").groupBy("k").agg(F.first("s").alias("s")), "join-sets")
-    left = pairs.join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a")
-    both = left.join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
-    return written(both.select("a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"), F.size(F.array_intersect("sa", "sb")).cast("long").alias("common")), "join-verified")
+    return written(both.mapInArrow(compare, "a long, b long, na long, nb long, common long"), "join-verified")
 
 
 LINKED = f"{DEN} * common >= {NUM} * (na + nb - common)"
@@ -235,7 +242,7 @@ def joined(documents: DataFrame) -> DataFrame:
     own = shares.where("g = partner").select("g", "partner")
     best = shares.where("g <> partner").join(first, "partner").where(f"{NUM} * greatest(n, partner_n) <= {DEN} * least(n, partner_n)").groupBy("g").agg(F.max_by("partner", F.struct("times", "partner")).alias("partner"))
     chosen = own.union(best).distinct().join(first, "partner").join(classes.select("g", F.col("k").alias("a")), "g")
-    one = verified(documents, chosen.where("a <> b").select("a", "b").distinct())
+    one = verified(documents, chosen.where("a <> b").select("a", "b").distinct(), classes)
     links = one.where(LINKED).select("a", "b")
     roots = written(components(links), "join-roots")
 
@@ -253,7 +260,7 @@ def joined(documents: DataFrame) -> DataFrame:
         AND {DEN + NUM} * least(x.n - x.pos, y.n - y.pos) >= {NUM} * (x.n + y.n)
         AND (x.far IS NULL OR y.far IS NULL OR (abs(x.far - y.far) <= {1 - NUM / DEN + 1e-9} AND x.far <> 0 AND y.far <> 0))
     """))
-    two = verified(documents, pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct())
+    two = verified(documents, pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct(), classes)
     roots = components(links.union(two.where(LINKED).select("a", "b")))
 
     placed = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "low", "stays", F.coalesce("root", "k").alias("root"))
