@@ -8,6 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet; the keys come from the left side."""
+    other = {k: f"_right_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(other)
+    cond = F.lit(True)
+    for k, r in other.items():
+        cond = cond & col(k).eqNullSafe(col(r))
+    return left.join(renamed, cond, how).drop(*other.values())
+
+
 def col(name: str) -> Column:
     """Column by its exact name; class names such as ``F&B`` need quoting."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.base import argmax_label, col, lit_d, prefixed_classes, row_max, total
+from ..functions.base import argmax_label, col, lit_d, prefixed_classes, row_max, same_keys, total
 from ..sources.materialise import materialise
 from .scoring import proba_column
 
@@ -38,7 +38,7 @@ def confusion_matrix(df: DataFrame, truth: str, prediction: str, classes: Sequen
         spine = df.select(*[col(b) for b in by]).distinct().select(*[col(b) for b in by], names)
     else:
         spine = df.sparkSession.range(1).select(names)
-    return spine.join(cells, [*by, "truth"], "left").fillna(0, list(classes))
+    return same_keys(spine, cells, [*by, "truth"], "left").fillna(0, list(classes))
 
 
 def class_report(counts: DataFrame, by: Sequence[str] = (), labels: Sequence[str] | None = None) -> DataFrame:
@@ -61,7 +61,7 @@ def class_report(counts: DataFrame, by: Sequence[str] = (), labels: Sequence[str
             spine = counts.select(*[col(b) for b in by]).distinct().select(*[col(b) for b in by], names)
         else:
             spine = counts.sparkSession.range(1).select(names)
-        sums = spine.join(sums, [*by, "class"], "left").fillna(0, ["tp", "support", "predicted"])
+        sums = same_keys(spine, sums, [*by, "class"], "left").fillna(0, ["tp", "support", "predicted"])
     else:
         sums = sums.filter(F.col("class").isNotNull())
 

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.base import col, lit_d
+from ..functions.base import col, lit_d, same_keys
 from ..sources.materialise import materialise
 
 BUCKETS = 65536
@@ -73,7 +73,7 @@ def order_statistics(
             })
             if isinstance(ranks, DataFrame):
                 wanted = ranks.withColumnsRenamed({"name": "_name", "rank": "_rank"})
-                hist = hist.join(F.broadcast(wanted), keys) if keys else hist.withColumn("_one", F.lit(0)).join(
+                hist = same_keys(hist, wanted, keys) if keys else hist.withColumn("_one", F.lit(0)).join(
                     F.broadcast(wanted.withColumn("_one", F.lit(0))), "_one").drop("_one")
             else:
                 pairs = F.array(*[
@@ -82,7 +82,7 @@ def order_statistics(
                 ])
                 hist = hist.select("*", F.inline(pairs))
         else:
-            part = rows.join(F.broadcast(target), [*group, *path])
+            part = same_keys(rows, target, [*group, *path])
             hist = part.groupBy(*group, *path, "_name", "_rank", "group_rows", step).agg(F.count("*").alias("_n"))
             inside = Window.partitionBy(*group, *path, "_name").orderBy(step)
             hist = hist.withColumn("_upto", F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
@@ -92,7 +92,7 @@ def order_statistics(
             *group, *path, "_name", (F.col("_rank") - before).alias("_rank"), "group_rows"
         )
 
-    part = rows.join(F.broadcast(target), [*group, *path])
+    part = same_keys(rows, target, [*group, *path])
     counts = part.groupBy(*group, *path, "_name", "_rank", "group_rows", "_v").agg(F.count("*").alias("_n"))
     inside = Window.partitionBy(*group, *path, "_name").orderBy("_v")
     upto = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.base import clip, col, lit_d, map_lookup
@@ -80,8 +80,8 @@ def value_share(df: DataFrame, value: str = "priority", by: Sequence[str] = ())
     """Normalised value counts; values that do not occur are absent."""
     counts = df.groupBy(*by, value).agg(F.count("*").alias("rows"))
     if by:
-        totals = counts.groupBy(*by).agg(F.sum("rows").alias("_all"))
-        out = counts.join(totals, list(by)).withColumn("share", F.col("rows") / F.col("_all")).drop("_all")
+        # a window, not a join: null groups stay
+        out = counts.withColumn("share", F.col("rows") / F.sum("rows").over(Window.partitionBy(*by)))
     else:
         out = counts.withColumn("share", F.col("rows") / counts.agg(F.sum("rows")).scalar())
     return out.select(*by, value, "rows", "share")

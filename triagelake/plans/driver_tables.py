@@ -14,7 +14,6 @@ from ..functions.base import col, lit_d, total
 from ..functions.lexicon import CueSet, Lexicons, department_score, with_cue_columns
 from ..functions.text import prepare_text, tokens
 from ..operators.scoring import attach_scores
-from ..sources.reviews import spread
 from .batch import runtime_layer
 
 LEXICONS = Lexicons(
@@ -42,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as (id, title, body, lang, source): the first line is the title."""
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return d.select(
         F.col("doc_id").alias("id"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("body"),
         "lang", "source",
@@ -101,7 +100,8 @@ def scored_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     The pre-guardrail sentiment probabilities are kept as ``proba_raw_sentiment_*``.
     """
     labels = labelled_reviews(spark, sf_dir).select("id", F.col("sentiment").alias("true_sentiment"), "quality")
-    scored = scored_texts(spark, sf_dir, cues=True)
+    # labels first: texts without one need no scores
+    scored = cue_share_scorer(with_cue_columns(texts(spark, sf_dir).join(labels, "id"), LEXICONS, clean=True))
     scored = scored.withColumns({
         f"proba_raw_sentiment_{c}": col(f"proba_sentiment_{c}") for c in SENTIMENT_CLASSES
     })
@@ -109,8 +109,7 @@ def scored_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     # each language has its home department, which serves as the true one
     home = F.when(F.col("lang") == "en", "Reception").when(F.col("lang") == "de", "F&B").otherwise("Housekeeping")
     return (
-        scored.join(labels, "id")
-        .withColumn("true_department", home)
+        scored.withColumn("true_department", home)
         .withColumn("section", F.when(F.col("quality") == 1, "quality").otherwise("other"))
     )
 

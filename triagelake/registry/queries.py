@@ -487,10 +487,7 @@ def stratified_kfold_lineitem(spark, sf):
     d = given.table(spark, sf, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("k"), "l_returnflag"
     )
-    out = splits.stratified_folds(d, F.col("l_returnflag"), 5, 3, "k")
-    return out.groupBy("l_returnflag", "fold").agg(
-        F.count("*").alias("rows"), F.min("k").alias("first_key"), F.max("k").alias("last_key")
-    )
+    return splits.stratified_folds(d, F.col("l_returnflag"), 5, 3, "k").select("k", "fold")
 
 
 @query
@@ -511,7 +508,7 @@ def replay_sample(spark, sf):
 def augment_union(spark, sf):
     d = given.labelled_reviews(spark, sf)
     extra = d.filter(F.col("sentiment") == "neg")
-    return splits.augment_union(d, extra, 2).groupBy("copy", "department", "sentiment").agg(F.count("*").alias("rows"))
+    return splits.augment_union(d, extra, 2).select("copy", "id", "department", "sentiment")
 
 
 @query
@@ -527,15 +524,15 @@ def labelled_queue_rows(spark, sf):
 
 @query
 def append_labeled(spark, sf):
-    """Labelled reviews grown by a queue of assistant turns and a replay sample."""
+    """Labelled reviews grown by a queue of all conversation turns and a replay sample."""
     base = given.labelled_reviews(spark, sf)
-    c = given.table(spark, sf, "conversations").filter("role = 'assistant'")
+    c = given.table(spark, sf, "conversations")
     queue = c.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.lit("reply").alias("title"), F.col("text").alias("body"),
         F.lit("en").alias("true_department"), F.lit("pos").alias("true_sentiment"),
     )
     out = splits.append_labelled(base, queue, replay_size=40)
-    return out.select("id", "origin", "department", "sentiment", F.length("body").alias("body_length"))
+    return out.select("id", "origin", "department", "sentiment", "body")
 
 
 # --- active learning -----------------------------------------------------------
@@ -551,10 +548,10 @@ def tfidf_weights(spark, sf):
 
 @query
 def tfidf_vocabulary(spark, sf):
-    """Document and corpus frequencies of all word uni- and bigrams of the documents, top 500."""
+    """Document and corpus frequencies of all word uni- and bigrams of the documents."""
     d = given.texts(spark, sf).select("id", "text")
     counts = tfidf.term_counts(d, ["id"], tfidf.terms_of(F.col("text"), "word", (1, 2)))
-    vocab = tfidf.vocabulary(counts, d.agg(F.count("*")).scalar(), max_features=500)
+    vocab = tfidf.vocabulary(counts, d.agg(F.count("*")).scalar())
     return r6(vocab, "idf")
 
 
@@ -621,8 +618,8 @@ def token_explanations(spark, sf):
     """Top words per review for a fixed linear model: log-odds of a word by language."""
     d = given.texts(spark, sf).select("id", "lang", "text")
     counts = tfidf.term_counts(d, ["id"], tfidf.terms_of(F.col("text"), "word", (1, 1)))
-    vocab = tfidf.vocabulary(counts, d.agg(F.count("*")).scalar(), max_features=1000)
-    weights = tfidf.tfidf_weights(counts, vocab, ["id"], sublinear=True, small_vocabulary=True)
+    vocab = tfidf.vocabulary(counts, d.agg(F.count("*")).scalar())
+    weights = tfidf.tfidf_weights(counts, vocab, ["id"], sublinear=True)
     per_lang = weights.join(d.select("id", "lang"), "id").groupBy(F.col("lang").alias("class"), "term").agg(F.sum("weight").alias("s"))
     means = per_lang.groupBy("term").agg((F.sum("s") / 4.0).alias("m"))
     coefs = per_lang.join(means, "term").select("class", "term", F.round(F.col("s") - F.col("m"), 6).alias("coef"))
@@ -642,8 +639,7 @@ def label_noise(spark, sf):
         F.get(F.array(*[F.lit(d) for d in generate.DEPARTMENTS]), F.pmod("l_linenumber", F.lit(3)).cast("int")).alias("department"),
         F.when(F.col("l_returnflag") == "R", "neg").otherwise("pos").alias("sentiment"),
     )
-    noisy = generate.label_noise(rows, 42, "noisy")
-    return noisy.groupBy("department", "sentiment").agg(F.count("*").alias("rows"), F.min("id").alias("first_id"))
+    return generate.label_noise(rows, 42, "noisy").select("id", "department", "sentiment")
 
 
 @query
@@ -692,8 +688,8 @@ def train_eval_baseline(spark, sf):
     """Calibrated word model of the language label: fitted, thresholds derived, tested."""
     d = _training(spark, sf)
     train = d.filter("split = 'train'")
-    vectors = models.fit_text_vectors(train, models.Features("word", (1, 2), 2, 0.98, 1 << 15))
-    model = models.fit_calibrated(vectors.transform(train), "department", "department", max_iter=30)
+    vectors = models.fit_text_vectors(train, models.Features("word", (1, 2), 2, 0.98))
+    model = models.fit_calibrated(vectors.transform(train), "department", "department")
     test = model.transform(vectors.transform(d.filter("split = 'test'")))
     report = evaluation.class_report(evaluation.confusion_counts(test, "department", "pred_department"))
     return r6(report.select("class", "precision", "recall", "f1", "support"), "precision", "recall", "f1")
@@ -704,9 +700,9 @@ def calibrated_scores(spark, sf):
     """Class probabilities of a calibrated character model of the toxic label on the test rows."""
     d = _training(spark, sf)
     train = materialise(models.task_text(d.filter("split = 'train'"), "sentiment"))
-    vectors = models.fit_text_vectors(train, models.Features("char_wb", (3, 4), 3, 0.98, 1 << 14))
+    vectors = models.fit_text_vectors(train, models.Features("char_wb", (3, 5), 1, 0.98))
     model = models.fit_calibrated(
-        vectors.transform(train), "sentiment", "sentiment", weights=models.SENTIMENT_CLASS_WEIGHTS["logistic"], max_iter=20
+        vectors.transform(train), "sentiment", "sentiment", weights=models.SENTIMENT_CLASS_WEIGHTS["logistic"],
     )
     test = materialise(models.task_text(d.filter("split = 'test'"), "sentiment"))
     out = model.transform(vectors.transform(test)).select("id", "pred_sentiment", "proba_sentiment_neg", "proba_sentiment_pos")
@@ -716,7 +712,7 @@ def calibrated_scores(spark, sf):
 @query
 def stacked_ensemble(spark, sf):
     d = _training(spark, sf)
-    model = models.fit_stacked(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "department", "department", max_iter=10, vocabulary_size=1 << 14)
+    model = models.fit_stacked(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "department", "department")
     test = model.transform(d.filter("split = 'test'"))
     report = evaluation.class_report(evaluation.confusion_counts(test, "department", "pred_department"))
     return r6(report.select("class", "precision", "recall", "f1", "support"), "precision", "recall", "f1")
@@ -729,7 +725,7 @@ def embedding_classifier(spark, sf):
         F.col("vec_id").alias("id"), F.col("label").cast("string").alias("truth"), "embedding"
     )
     rows = models.embedding_vectors(splits.stratified_split(e, F.col("truth")), "embedding").drop("embedding")
-    model = models.fit_calibrated(rows.filter(~F.col("is_test")), "route", "truth", c=1.0, max_iter=25)
+    model = models.fit_calibrated(rows.filter(~F.col("is_test")), "route", "truth", c=1.0)
     out = model.transform(rows.filter("is_test")).select("id", "truth", "pred_route", "route_confidence")
     return r6(out, "route_confidence")
 
@@ -738,5 +734,5 @@ def embedding_classifier(spark, sf):
 def model_calibration_probe(spark, sf):
     """Sigmoid against isotonic for the toxic label."""
     d = _training(spark, sf)
-    out = models.calibration_probe(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "sentiment", "sentiment", max_iter=20)
+    out = models.calibration_probe(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "sentiment", "sentiment")
     return r6(out, "accuracy", "ece", "brier")

@@ -300,7 +300,7 @@ SQL["stratified_kfold"] = w(_LABELLED, f"SELECT id, {fold_sql('id', 'stratum', 5
 SQL["stratified_kfold_lineitem"] = w(f"""
 x AS (SELECT l_returnflag, l_orderkey || '-' || l_linenumber AS k FROM lineitem),
 y AS (SELECT l_returnflag, k, {fold_sql('k', 'l_returnflag', 5, 3)} AS fold FROM x)""", """
-SELECT l_returnflag, fold, count(*) AS rows, min(k) AS first_key, max(k) AS last_key FROM y GROUP BY ALL""")
+SELECT k, fold FROM y""")
 _QUOTA = "cg AS (SELECT department, sentiment, count(*) AS n FROM l GROUP BY ALL)," + quota_sql("cg", "{size}", "department, sentiment")
 SQL["largest_remainder_quota"] = w(_LABELLED + "," + _QUOTA.format(size=50), """
 SELECT department, sentiment, n AS rows, round(quota_raw, 6) AS quota_raw, quota FROM quo""")
@@ -310,16 +310,16 @@ rep AS (SELECT rk.* FROM rk JOIN quo USING (department, sentiment) WHERE r <= qu
 """
 SQL["replay_sample"] = w(_LABELLED + "," + _QUOTA.format(size=50) + _REPLAY, "SELECT id, department, sentiment FROM rep")
 SQL["augment_union"] = w(_LABELLED, """
-SELECT CAST(0 AS INTEGER) AS copy, department, sentiment, count(*) AS rows FROM l GROUP BY ALL
-UNION ALL SELECT CAST(c AS INTEGER), department, sentiment, count(*) FROM l, range(1, 3) t(c) WHERE sentiment = 'neg' GROUP BY ALL""")
+SELECT CAST(0 AS INTEGER) AS copy, id, department, sentiment FROM l
+UNION ALL SELECT CAST(c AS INTEGER), id, department, sentiment FROM l, range(1, 3) t(c) WHERE sentiment = 'neg'""")
 SQL["labelled_queue_rows"] = "SELECT conv_id * 1000 + turn AS id, role AS true_department FROM conversations WHERE turn % 2 <> 0"
 SQL["append_labeled"] = w(_LABELLED + "," + _QUOTA.format(size=40) + _REPLAY + """
 , top AS (SELECT max(id) + 1 AS nxt FROM l),
-lab AS (SELECT nxt + row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1 AS id, length(text) AS n FROM conversations, top WHERE role = 'assistant'),
+lab AS (SELECT nxt + row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1 AS id, text FROM conversations, top),
 base2 AS (SELECT max(id) + 1 AS nxt FROM lab)""", """
-SELECT id, 'base' AS origin, department, sentiment, CAST(length(text) AS INTEGER) AS body_length FROM l
-UNION ALL SELECT id, 'labelled', 'en', 'pos', CAST(n AS INTEGER) FROM lab
-UNION ALL SELECT nxt + row_number() OVER (ORDER BY id) - 1, 'replay', department, sentiment, CAST(length(text) AS INTEGER) FROM rep, base2""")
+SELECT id, 'base' AS origin, department, sentiment, text AS body FROM l
+UNION ALL SELECT id, 'labelled', 'en', 'pos', text FROM lab
+UNION ALL SELECT nxt + row_number() OVER (ORDER BY id) - 1, 'replay', department, sentiment, text FROM rep, base2""")
 
 # --- active learning
 _GRAMS = "list_concat({t}, list_transform(range(1, greatest(len({t}), 1)), lambda i: {t}[i] || ' ' || {t}[i + 1]))"
@@ -337,7 +337,7 @@ SQL["tfidf_vocabulary"] = w(TXT + f"""
 g AS (SELECT id, unnest({_GRAMS.format(t='t')}) AS term FROM b),
 tf AS (SELECT id, term, count(*) AS tf FROM g GROUP BY ALL)""", """
 SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total_tf, round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) + 1, 6) AS idf
-FROM tf GROUP BY term ORDER BY total_tf DESC, term LIMIT 500""")
+FROM tf GROUP BY term""")
 _CHAR = TXT + f"""
 , cg AS (SELECT id, unnest({char_grams_sql('tk', 3, 5)}) AS term FROM tok),
 ct AS (SELECT id, term, count(*) AS tf FROM cg GROUP BY ALL)
@@ -376,7 +376,7 @@ SELECT count(*) AS rows, round(avg(u), 6) AS mean_uncertainty_score, round(avg(d
 SQL["token_explanations"] = w(TXT + """
 , g AS (SELECT id, lang, unnest(list_filter(tk, lambda x: length(x) >= 2)) AS term FROM tok),
 tf AS (SELECT id, lang, term, count(*) AS tf FROM g GROUP BY ALL),
-voc AS (SELECT term, count(*) AS df FROM tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 1000),
+voc AS (SELECT term, count(*) AS df FROM tf GROUP BY term ),
 idf AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) + 1 AS idf FROM voc),
 wt AS (SELECT id, lang, term, (1 + ln(tf)) * idf AS w FROM tf JOIN idf USING (term)),
 un AS (SELECT id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM wt),
@@ -407,7 +407,7 @@ x AS (SELECT l_orderkey || '-' || l_linenumber AS id, ([{q(_DEPS3)}])[l_linenumb
   CASE WHEN l_returnflag = 'R' THEN 'neg' ELSE 'pos' END AS sent FROM lineitem),
 y AS (SELECT id, CASE WHEN {draw_sql('id', '42-dep')} < {d(0.10)} THEN {other_sql('dep', _DEPS3, draw_sql('id', '42-dep_to'))} ELSE dep END AS department,
   CASE WHEN {draw_sql('id', '42-sent')} < {d(0.18)} THEN CASE sent WHEN 'pos' THEN 'neg' ELSE 'pos' END ELSE sent END AS sentiment FROM x)""", """
-SELECT department, sentiment, count(*) AS rows, min(id) AS first_id FROM y GROUP BY ALL""")
+SELECT id, department, sentiment FROM y""")
 
 
 def typo_sql(phrases, words, level: float) -> str:

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="triagelake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The folder the cluster names for checkpoints; else the context's own, or one inside the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/shared").rstrip("/")
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -22,9 +18,12 @@ def materialise(df: DataFrame) -> DataFrame:
 
     For narrow intermediates several later steps read: they are computed once,
     outlive lost executors, and stop the optimiser from pushing filters on
-    computed columns (and with them the computation) into every reader.
+    computed columns (and with them the computation) into every reader. The
+    files go when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/triagelake/{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

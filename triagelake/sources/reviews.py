@@ -61,17 +61,6 @@ def read_benchmark_folder(spark: SparkSession, folder: str, schema: StructType =
     return df.withColumn("section", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
 
 
-def spread(df: DataFrame, key: str, bytes_per_task: int = 16 * 2**20) -> DataFrame:
-    """Spread a small input over all cores for CPU-bound work.
-
-    A small file is one row group and would be one task. Inputs that fill the
-    cluster by themselves are left alone, so large scans are never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < cores * bytes_per_task else df
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """Write in parallel, one file per task; CSV gets a header and safe quoting."""
     writer = df.write.mode(mode)
