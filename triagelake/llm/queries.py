@@ -9,7 +9,7 @@ from .shared import table
 
 
 def op1_legacy_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return legacy_archive.archived(table(spark, sf_dir, "pages"))
+    return legacy_archive.archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
