@@ -44,3 +44,11 @@ def test_two_class_svm_has_coefficients(spark):
     model = models.fit_calibrated(vectors.transform(d), "t", "label_text", kind="svm", max_iter=50)
     coefs = {(r["class"], r.term): r.coef for r in model.coefficients(spark, vectors.terms).collect()}
     assert coefs["good", "nice"] > 0 > coefs["bad", "nice"]
+
+
+def test_an_outlying_id_leaves_the_buckets_balanced(spark):
+    d = spark.range(1000).union(spark.createDataFrame([(1 << 60,)], "id long"))
+    sizes = d.withColumn("b", ranking.range_bucket(d, "id")).groupBy("b").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 10
+    ranked = ranking.row_ranks(d, [], ranking.range_bucket(d, "id"), [F.col("id")], "rank").orderBy("id").collect()
+    assert [r["rank"] for r in ranked] == list(range(1001))

@@ -151,8 +151,20 @@ def row_ranks(
     return joined.select(*kept, (offsets["_before"] + F.row_number().over(inside) - 1).alias(out))
 
 
+CUTS = 256
+
+
 def range_bucket(df: DataFrame, name: str) -> Column:
-    """Ordered buckets for an integer column, spread over its observed range."""
-    low, high = df.agg(F.min(col(name))).scalar(), df.agg(F.max(col(name))).scalar()
-    width = (high - low + F.lit(1)).cast("double")
-    return F.floor((col(name) - low).cast("double") / width * lit_d(BUCKETS)).cast("int")
+    """Ordered buckets for an integer column: between approximate quantiles, each stretch cut evenly.
+
+    Outliers widen their own stretch alone.
+    """
+    x = col(name)
+    # CUTS + 1 numbers; subqueries are not allowed inside lambdas, so they are read here
+    values = df.agg(F.percentile_approx(x, [i / CUTS for i in range(CUTS + 1)])).first()[0]
+    cuts = F.array(*[F.lit(v).cast("long") for v in sorted(set(values or []))]).cast("array<bigint>")
+    at = F.size(F.filter(cuts, lambda c: c <= x))
+    low, high = F.get(cuts, at - 1), F.get(cuts, at)
+    share = F.floor((x - low).cast("double") / (high - low).cast("double") * lit_d(CUTS))
+    inner = F.when((at > 0) & (high > low), F.least(F.greatest(share, F.lit(0)), F.lit(CUTS - 1))).otherwise(F.lit(0))
+    return (at * CUTS + inner).cast("int")
