@@ -8,8 +8,9 @@ Classes with identical prefix and size form a group, and the prefix index holds
 1. every group meets one partner, the smallest group of the index entry that they share most often; its classes are verified
    against that partner's first class, and classes inside a group against the group's first class;
 2. what those links have connected needs no further look: only pairs that stand in one index entry but in different
-   components remain. They pass the size and position filters and the triangle inequality over distances already verified,
-   and the rest is expanded to classes and verified.
+   components remain. Expanded to classes, they pass the size and position filters and a bound by bitmaps: a set is folded
+   into PARITY bits, each the parity of the elements that fall on it, and two sets differ in as many elements at least as
+   their bitmaps in bits. The rest is verified.
 
 So a large group of near copies costs one comparison a member, not one a pair, and no link between components is lost.
 Sets are looked up for candidates only: a bit table of fixed size tells the scan which classes may be candidates.
@@ -39,6 +40,8 @@ SHINGLE = 5
 NUM, DEN = 4, 5
 #: The list of frequent shingles: its length, and what a task reports from each CHUNK of shingles.
 FREQUENT, REPORTED, CHUNK, OFTEN = 1 << 16, 1 << 13, 1 << 22, 8
+#: Bits of a set's bitmap, in words of 64.
+PARITY = 1024
 #: Bits of the candidate table (2 MB at most); with more candidates it only lets more classes through.
 BITS = 1 << 24
 
@@ -138,22 +141,32 @@ class Order:
         return join(parts, np.uint64), np.concatenate([[0], np.cumsum(length)]), join(flags, bool)
 
 
+def bitmaps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """PARITY / 64 words for each row: the parities of its elements by place."""
+    places = (K.mixed(sets + np.uint64(5)) % np.uint64(PARITY)).astype(np.int64)
+    counts = np.bincount(K.rows_of(at) * PARITY + places, minlength=(len(at) - 1) * PARITY)
+    return np.packbits((counts & 1).astype(np.uint8).reshape(-1, PARITY), axis=1, bitorder="little").view(np.int64)
+
+
 def _keys(order: Order, column: pa.Array) -> tuple:
     sets, at = shingle_sets(column)
     prefix, pre_at, frequent = order.prefixes(sets, at)
     n = np.diff(at)
-    return set_keys(sets, at), K.mixed(K.segment_sums(K.mixed(prefix), pre_at) * np.uint64(3) + n.astype(np.uint64)), n, prefix, pre_at, frequent
+    return set_keys(sets, at), K.mixed(K.segment_sums(K.mixed(prefix), pre_at) * np.uint64(3) + n.astype(np.uint64)), n, prefix, pre_at, frequent, sets, at
+
+
+BITMAP = [f"b{i}" for i in range(PARITY // 64)]
 
 
 def classified(documents: DataFrame, order: Order) -> DataFrame:
-    """(doc_id, r, n, k, g): set size, class and group of each document; k and g are null for empty sets."""
+    """(doc_id, r, n, k, g, b0...): set size, class, group and bitmap of each document; k and g are null for empty sets."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, 2):
-            k, g, n, *_ = _keys(order, batch.column(2))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g))], names=["doc_id", "r", "n", "k", "g"])
+            k, g, n, *_, sets, at = _keys(order, batch.column(2))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g)), *map(pa.array, bitmaps(sets, at).T)], names=["doc_id", "r", "n", "k", "g", *BITMAP])
 
-    return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long")
+    return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long, " + ", ".join(f"{b} long" for b in BITMAP))
 
 
 def prefix_index(documents: DataFrame, order: Order) -> DataFrame:
@@ -162,7 +175,7 @@ def prefix_index(documents: DataFrame, order: Order) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # groups of this partition: copies add nothing
         for batch in K.slices(batches, 0):
-            _, g, n, prefix, pre_at, frequent = _keys(order, batch.column(0))
+            _, g, n, prefix, pre_at, frequent, *_ = _keys(order, batch.column(0))
             new = np.zeros(len(n), bool)
             for i in np.flatnonzero(n):
                 if g[i] not in seen:
@@ -229,7 +242,7 @@ def joined(documents: DataFrame) -> DataFrame:
     r of the one document of the component that stays: the smallest doc_id's."""
     order = Order(*frequent_shingles(documents))
     members = written(classified(documents, order), "join-members")
-    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays")), "join-classes")
+    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays"), *[F.first(b).alias(b) for b in BITMAP]), "join-classes")
     groups = classes.groupBy("g").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.min("n").alias("n"))
     entries = shared_entries(prefix_index(documents, order))
     # a group of several classes is an entry of its own
@@ -237,7 +250,6 @@ def joined(documents: DataFrame) -> DataFrame:
     entries = written(entries.union(inside), "join-entries")
 
     first = groups.select(F.col("g").alias("partner"), F.col("first").alias("b"), F.col("n").alias("partner_n"))
-    sizes = F.expr(f"{NUM} * greatest(place >> 24, partner_n) <= {DEN} * least(place >> 24, partner_n)")
     shares = entries.groupBy("g", "partner", F.shiftright("place", 24).alias("n")).agg(F.count("*").alias("times"))
     own = shares.where("g = partner").select("g", "partner")
     best = shares.where("g <> partner").join(first, "partner").where(f"{NUM} * greatest(n, partner_n) <= {DEN} * least(n, partner_n)").groupBy("g").agg(F.max_by("partner", F.struct("times", "partner")).alias("partner"))
@@ -247,18 +259,17 @@ def joined(documents: DataFrame) -> DataFrame:
     roots = written(components(links), "join-roots")
 
     # entries whose classes are in different components, at class level
-    rooted = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "g", "n", F.coalesce("root", "k").alias("root"))
+    rooted = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "g", F.coalesce("root", "k").alias("root"), *BITMAP)
     by_group = rooted.groupBy("g").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
     open_ = entries.join(by_group, "g").groupBy("token").agg(F.min("r1").alias("r1"), F.max("r2").alias("r2")).where("r1 <> r2").select("token")
-    known = one.select("a", "b", (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("far"))
-    rows = entries.join(open_, "token", "left_semi").join(rooted.drop("n"), "g").join(first.select("partner", "b"), "partner").join(known, (F.col("k") == F.col("a")) & (first["b"] == known["b"]), "left")
-    rows = written(rows.select("token", "k", "root", "partner", F.shiftright("place", 24).alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), F.when(F.col("k") == first["b"], 0.0).otherwise(F.col("far")).alias("far")), "join-open")
+    rows = entries.join(open_, "token", "left_semi").join(rooted, "g").select("token", "k", "root", F.shiftright("place", 24).alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), *BITMAP)
     x, y = rows.alias("x"), rows.alias("y")
+    differ = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in BITMAP)
     pairs = x.join(y, F.expr(f"""
         x.token = y.token AND x.root < y.root
         AND {NUM} * greatest(x.n, y.n) <= {DEN} * least(x.n, y.n)
         AND {DEN + NUM} * least(x.n - x.pos, y.n - y.pos) >= {NUM} * (x.n + y.n)
-        AND (x.far IS NULL OR y.far IS NULL OR (abs(x.far - y.far) <= {1 - NUM / DEN + 1e-9} AND x.far <> 0 AND y.far <> 0))
+        AND {DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)
     """))
     two = verified(documents, pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct(), classes)
     roots = components(links.union(two.where(LINKED).select("a", "b")))
