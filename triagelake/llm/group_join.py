@@ -10,7 +10,9 @@ Classes with identical prefix and size form a group, and the prefix index holds
 2. what those links have connected needs no further look: only pairs that stand in one index entry but in different
    components remain. Expanded to classes, they pass the size and position filters and a bound by bitmaps: a set is folded
    into PARITY bits, each the parity of the elements that fall on it, and two sets differ in as many elements at least as
-   their bitmaps in bits. The rest is verified.
+   their bitmaps in bits. A pair that is known to share an earlier prefix element is left to that element's entry;
+3. of these pairs each class first verifies the one with the fewest differing bits, and then all that are still in different
+   components are verified.
 
 So a large group of near copies costs one comparison a member, not one a pair, and no link between components is lost.
 Sets are looked up for candidates only: a bit table of fixed size tells the scan which classes may be candidates.
@@ -42,6 +44,8 @@ NUM, DEN = 4, 5
 FREQUENT, REPORTED, CHUNK, OFTEN = 1 << 16, 1 << 13, 1 << 22, 8
 #: Bits of a set's bitmap, in words of 64.
 PARITY = 1024
+#: First prefix elements that rows carry, to see whether a pair meets in an earlier entry.
+EARLY = 4
 #: Bits of the candidate table (2 MB at most); with more candidates it only lets more classes through.
 BITS = 1 << 24
 
@@ -156,17 +160,19 @@ def _keys(order: Order, column: pa.Array) -> tuple:
 
 
 BITMAP = [f"b{i}" for i in range(PARITY // 64)]
+FIRST = [f"f{i}" for i in range(EARLY)]
 
 
 def classified(documents: DataFrame, order: Order) -> DataFrame:
-    """(doc_id, r, n, k, g, b0...): set size, class, group and bitmap of each document; k and g are null for empty sets."""
+    """(doc_id, r, n, k, g, b0...): set size, class, group, bitmap and first prefix elements of each document; k and g are null for empty sets."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, 2):
-            k, g, n, *_, sets, at = _keys(order, batch.column(2))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g)), *map(pa.array, bitmaps(sets, at).T)], names=["doc_id", "r", "n", "k", "g", *BITMAP])
+            k, g, n, prefix, pre_at, _, sets, at = _keys(order, batch.column(2))
+            first = [(np.append(prefix, 0).astype(np.uint64).view(np.int64)[np.minimum(pre_at[:-1] + i, len(prefix))], pre_at[:-1] + i >= pre_at[1:]) for i in range(EARLY)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g)), *map(pa.array, bitmaps(sets, at).T), *(pa.array(x, mask=none) for x, none in first)], names=["doc_id", "r", "n", "k", "g", *BITMAP, *FIRST])
 
-    return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long, " + ", ".join(f"{b} long" for b in BITMAP))
+    return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long, " + ", ".join(f"{b} long" for b in BITMAP + FIRST))
 
 
 def prefix_index(documents: DataFrame, order: Order) -> DataFrame:
@@ -242,7 +248,7 @@ def joined(documents: DataFrame) -> DataFrame:
     r of the one document of the component that stays: the smallest doc_id's."""
     order = Order(*frequent_shingles(documents))
     members = written(classified(documents, order), "join-members")
-    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays"), *[F.first(b).alias(b) for b in BITMAP]), "join-classes")
+    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays"), *[F.first(b).alias(b) for b in BITMAP + FIRST]), "join-classes")
     groups = classes.groupBy("g").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.min("n").alias("n"))
     entries = shared_entries(prefix_index(documents, order))
     # a group of several classes is an entry of its own
@@ -259,20 +265,29 @@ def joined(documents: DataFrame) -> DataFrame:
     roots = written(components(links), "join-roots")
 
     # entries whose classes are in different components, at class level
-    rooted = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "g", F.coalesce("root", "k").alias("root"), *BITMAP)
+    rooted = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "g", F.coalesce("root", "k").alias("root"), *BITMAP, *FIRST)
     by_group = rooted.groupBy("g").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
     open_ = entries.join(by_group, "g").groupBy("token").agg(F.min("r1").alias("r1"), F.max("r2").alias("r2")).where("r1 <> r2").select("token")
-    rows = entries.join(open_, "token", "left_semi").join(rooted, "g").select("token", "k", "root", F.shiftright("place", 24).alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), *BITMAP)
+    rows = entries.join(open_, "token", "left_semi").join(rooted, "g").select("token", "k", "root", F.shiftright("place", 24).alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), *BITMAP, *FIRST)
     x, y = rows.alias("x"), rows.alias("y")
     differ = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in BITMAP)
+    earlier = " OR ".join(f"(x.pos > {i} AND y.pos > {j} AND x.f{i} = y.f{j})" for i in range(EARLY) for j in range(EARLY))
     pairs = x.join(y, F.expr(f"""
         x.token = y.token AND x.root < y.root
         AND {NUM} * greatest(x.n, y.n) <= {DEN} * least(x.n, y.n)
         AND {DEN + NUM} * least(x.n - x.pos, y.n - y.pos) >= {NUM} * (x.n + y.n)
+        AND NOT ({earlier})
         AND {DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)
     """))
-    two = verified(documents, pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct(), classes)
-    roots = components(links.union(two.where(LINKED).select("a", "b")))
+    pairs = written(pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.expr(differ).alias("differ")).distinct(), "join-open")
+    best = pairs.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("b")).union(pairs.groupBy("b").agg(F.min(F.struct("differ", "a"))["a"].alias("a")).select("a", "b")).distinct()
+    best = written(best, "join-best")
+    links = written(links.union(verified(documents, best, classes).where(LINKED).select("a", "b")), "join-links")
+    of = written(components(links), "join-roots")
+    root = lambda name: of.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
+    rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(root("a"), "a", "left").join(root("b"), "b", "left")
+    rest = rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    roots = components(links.union(verified(documents, rest, classes).where(LINKED).select("a", "b")))
 
     placed = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "low", "stays", F.coalesce("root", "k").alias("root"))
     low = placed.groupBy("root").agg(F.min("low").alias("component_id"), F.min("stays")["r"].alias("stays"))
