@@ -44,7 +44,8 @@ NUM, DEN = 4, 5
 FREQUENT, REPORTED, CHUNK, OFTEN = 1 << 16, 1 << 13, 1 << 22, 8
 #: Bits of a set's bitmap, in words of 64.
 PARITY = 1024
-#: First prefix elements that rows carry, to see whether a pair meets in an earlier entry.
+#: Prefix elements that rows carry with their positions, to see whether a pair meets in an earlier entry: the first frequent
+#: ones, as a text's own rare shingles are in no other prefix, else the first of all.
 EARLY = 4
 #: Bits of the candidate table (2 MB at most); with more candidates it only lets more classes through.
 BITS = 1 << 24
@@ -160,7 +161,7 @@ def _keys(order: Order, column: pa.Array) -> tuple:
 
 
 BITMAP = [f"b{i}" for i in range(PARITY // 64)]
-FIRST = [f"f{i}" for i in range(EARLY)]
+FIRST = [f"{c}{i}" for i in range(EARLY) for c in "fp"]
 
 
 def classified(documents: DataFrame, order: Order) -> DataFrame:
@@ -168,8 +169,17 @@ def classified(documents: DataFrame, order: Order) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, 2):
-            k, g, n, prefix, pre_at, _, sets, at = _keys(order, batch.column(2))
-            first = [(np.append(prefix, 0).astype(np.uint64).view(np.int64)[np.minimum(pre_at[:-1] + i, len(prefix))], pre_at[:-1] + i >= pre_at[1:]) for i in range(EARLY)]
+            k, g, n, prefix, pre_at, frequent, sets, at = _keys(order, batch.column(2))
+            rows = K.rows_of(pre_at)
+            chosen = frequent | (K.segment_sums(frequent, pre_at) == 0)[rows]
+            at_chosen = np.flatnonzero(chosen)
+            sel = np.concatenate([[0], np.cumsum(K.segment_sums(chosen, pre_at))])
+            first = []
+            for i in range(EARLY):
+                none = sel[:-1] + i >= sel[1:]
+                where = np.append(at_chosen, 0)[np.where(none, len(at_chosen), sel[:-1] + i)]
+                token = np.append(prefix, 0).astype(np.uint64)[np.where(none, len(prefix), where)].view(np.int64)
+                first += [(token, none), (where - pre_at[:-1], none)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g)), *map(pa.array, bitmaps(sets, at).T), *(pa.array(x, mask=none) for x, none in first)], names=["doc_id", "r", "n", "k", "g", *BITMAP, *FIRST])
 
     return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long, " + ", ".join(f"{b} long" for b in BITMAP + FIRST))
@@ -271,12 +281,12 @@ def joined(documents: DataFrame) -> DataFrame:
     rows = entries.join(open_, "token", "left_semi").join(rooted, "g").select("token", "k", "root", F.shiftright("place", 24).alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), *BITMAP, *FIRST)
     x, y = rows.alias("x"), rows.alias("y")
     differ = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in BITMAP)
-    earlier = " OR ".join(f"(x.pos > {i} AND y.pos > {j} AND x.f{i} = y.f{j})" for i in range(EARLY) for j in range(EARLY))
+    earlier = " OR ".join(f"(x.p{i} < x.pos AND y.p{j} < y.pos AND x.f{i} = y.f{j})" for i in range(EARLY) for j in range(EARLY))
     pairs = x.join(y, F.expr(f"""
         x.token = y.token AND x.root < y.root
         AND {NUM} * greatest(x.n, y.n) <= {DEN} * least(x.n, y.n)
         AND {DEN + NUM} * least(x.n - x.pos, y.n - y.pos) >= {NUM} * (x.n + y.n)
-        AND NOT ({earlier})
+        AND NOT coalesce({earlier}, false)
         AND {DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)
     """))
     pairs = written(pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.expr(differ).alias("differ")).distinct(), "join-open")
