@@ -14,8 +14,8 @@ from triagelake.llm.shared import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or their group's fences go."""
-    return adaptive_quality.kept_documents(docs)
+    """Documents that fail the base rules or their group's fences go; the sketches alone set the fences."""
+    return adaptive_quality.kept_documents(docs, by_sketch=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,20 @@ def test_sketch_quantiles_are_near_and_merge(spark):
     assert {r["size"] for r in adaptive_quality.fences(sketch, ["lang"]).collect()} == {1499, 1500}
 
 
+def test_sketches_decide_without_constants(spark):
+    """Documents far outside their group but inside UPPER and LOWER go; a source full of junk doesn't raise its own fence."""
+    clean = lambda i: " ".join(f"word{i}x{j}" for j in range(100))
+    odd = {"symbols": clean(9001) + " #" * 25, "dup_lines": "\n".join([clean(9002), *[f"line {j}" for j in range(8)], "line 1", "line 2"]), "long words": clean(9003).replace("word", "wordwo")}
+    texts = [(clean(i), "a") for i in range(300)] + [(t, "a") for t in odd.values()] + [(clean(400 + i) + " #" * 25 * (i % 3 > 0), "junk") for i in range(240)]
+    texts += [(clean(1000 + i), f"s{i % 8}") for i in range(2000)]
+    rows = table_of(spark, [(i, t, "en", s, len(t), *["x"] * 10) for i, (t, s) in enumerate(texts)])
+    fixed, led = ({r.doc_id for r in adaptive_quality.kept_documents(rows, by_sketch=b).select("doc_id").collect()} for b in (False, True))
+    junk = {i for i, (t, s) in enumerate(texts) if s == "junk" and "#" in t}
+    assert fixed == set(range(len(texts)))
+    assert led == fixed - junk - {300, 301, 302}
+    assert Counter(r.doc_id for r in adaptive_quality.judged(rows, by_sketch=True).where("kept").collect()) == Counter(led)
+
+
 # --- near duplicates
 
 
