@@ -337,6 +337,16 @@ def test_license_scan(spark):
     assert labels[4] == labels[9] == "cc-by-nc" and labels[5] == "bsd" and labels[10] == labels[8] == ""
 
 
+def test_every_licence_of_a_long_document_is_found(spark):
+    """Ordinary words and other notices don't keep a licence from being looked up."""
+    ordinary = "charge domain free general granted modify permission permitted public purpose software subject terms version " * 3
+    notices = ", ".join(t for _, t, _ in license_index.TEMPLATES)
+    texts = [ordinary + "Licensed under CC BY-NC 4.0. " + ordinary, notices, "Licensed under CC BY-NC 4.0. " * 2, *["Licensed under the CC BY 4.0 license"] * 40]
+    out = {r.doc_id: r for r in license_index.scanned(table_of(spark, [(i, t, None, None, 0, *["x"] * 10) for i, t in enumerate(texts)])).collect()}
+    assert out[0].labels == out[2].labels == "cc-by-nc" and out[0].score == 1.0
+    assert out[1].labels.split(",") == sorted({label for label, *_ in license_index.TEMPLATES})
+
+
 @pytest.mark.parametrize("run", [adaptive_quality.judged, adaptive_quality.kept_documents, group_join.linked, group_join.representatives, suffix_merge.deduplicated, suffix_merge.cut_documents, weighted_mix.mix_of, weighted_mix.mixed_documents, license_index.scanned])
 def test_empty_tables(empty, run):
     assert run(empty).collect() == []

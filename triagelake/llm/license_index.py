@@ -1,9 +1,9 @@
 """License scan by a positional index of rare words, in DataFrame operations alone.
 
-Templates are word sequences with a mandatory key phrase. Their postings say at which position of which template a licence
-word stands. Of each document's licence words those with the highest IDF over all documents are looked up; every posting
-proposes where its template would begin, and equal proposals count as votes. The best-voted places are verified: the
-mandatory phrase must stand at its position, and the share of the template's words in place is the score.
+Templates are word sequences with a mandatory key phrase. Each is posted under one licence word of its phrase, the one with
+the highest IDF over all documents. Every posted word of a document is looked up, and each posting proposes where its template
+would begin. All proposals are verified: the mandatory phrase must stand at its position, and the share of the template's words
+in place is the score. As a phrase can't stand anywhere without its posted word, no place is missed.
 
 Templates, phrases and vocabulary are parameters of fixed size, so they travel as literals in the plan; every step after the
 IDF counts is local to the row, and nothing is shuffled but those counts.
@@ -47,7 +47,6 @@ COMMON = "a and any are by for forms in into is of or the this to use with witho
 GATES = ["license", "licence", "hereby", "redistribution", "unencumbered", "distribute", "cc by", "cc-by"]
 #: The same for words with other characters between them.
 GATE_PATTERN = "cc[^a-z0-9]+by"
-LOOKED_UP = 12
 #: Share of a template's words that must stand in place.
 LEAST = 0.5
 
@@ -63,20 +62,23 @@ def _words(phrase: str) -> list[str]:
 VOCABULARY = sorted({w for _, t, _ in TEMPLATES for w in _words(t)} - set(COMMON))
 
 
-def _postings() -> Column:
-    """word -> array of (template, position of the word in it)."""
-    entries: list[Column] = []
-    for word in VOCABULARY:
-        places = [(k, i) for k, (_, t, _) in enumerate(TEMPLATES) for i, w in enumerate(_words(t)) if w == word]
-        entries += [F.lit(word), F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("i")) for k, i in places])]
-    return F.create_map(*entries)
+def rarest_words(idf: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
+    """word -> (template, position of the word in it): for each template the rarest licence word of its mandatory phrase."""
+    out: dict[str, list[tuple[int, int]]] = {}
+    for k, (_, template, phrase) in enumerate(TEMPLATES):
+        words, wanted = _words(template), _words(phrase)
+        at = _phrase_at(words, wanted)
+        i = min((i for i, w in enumerate(wanted) if w in VOCABULARY), key=lambda i: (-idf[wanted[i]], wanted[i], i))
+        out.setdefault(wanted[i], []).append((k, at + i))
+    return out
 
 
-def _templates() -> Column:
-    def phrase_at(words: list[str], phrase: list[str]) -> int:
-        return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+def _phrase_at(words: list[str], phrase: list[str]) -> int:
+    return next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+
 
-    return F.array(*[F.struct(F.lit(label).alias("label"), _array(_words(t)).alias("words"), _array(_words(p)).alias("phrase"), F.lit(phrase_at(_words(t), _words(p))).alias("at")) for label, t, p in TEMPLATES])
+def _templates() -> Column:
+    return F.array(*[F.struct(F.lit(label).alias("label"), _array(_words(t)).alias("words"), _array(_words(p)).alias("phrase"), F.lit(_phrase_at(_words(t), _words(p))).alias("at")) for label, t, p in TEMPLATES])
 
 
 def gated_words(text: Column) -> Column:
@@ -96,11 +98,6 @@ def idf_of(rows: DataFrame, total: int) -> dict[str, float]:
     return {w: (total + 1) / (found.get(w, 0) + 1) for w in VOCABULARY}
 
 
-def bound(value: Column, use) -> Column:
-    """use(value) with the value computed once a row: inside a lambda, a column expression is computed for each element."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def places_of(words: Column) -> Column:
     """Array of (word position, label) of the base phrases, in order of position."""
     last = {tuple(_words(p)): label for p, label in BASE.items()}
@@ -121,11 +118,11 @@ def places_of(words: Column) -> Column:
 
 def matches_of(words: Column, idf: dict[str, float]) -> Column:
     """Array of (label, score) of the verified templates."""
-    ranked = sorted(VOCABULARY, key=lambda w: (-idf[w], w))  # rarest first: the order in which a document's words are chosen
-    chosen = F.slice(F.array_intersect(_array(ranked), words), 1, LOOKED_UP)
+    posted = rarest_words(idf)
     placed = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    hits = bound(chosen, lambda c: F.filter(placed, lambda x: F.array_contains(c, x["w"])))
-    postings, templates = _postings(), _templates()
+    hits = F.filter(placed, lambda x: x["w"].isin(*posted))
+    places = lambda posts: F.array(*[F.struct(F.lit(k).alias("k"), F.lit(i).alias("i")) for k, i in posts])
+    postings, templates = F.create_map(*[x for word, posts in posted.items() for x in (F.lit(word), places(posts))]), _templates()
     begins = F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(postings, h["w"]), lambda p: F.struct(p["k"].alias("k"), (h["i"] - p["i"]).alias("begin")))))
 
     def verified(v: Column) -> Column:
