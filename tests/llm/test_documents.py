@@ -347,6 +347,16 @@ def test_every_licence_of_a_long_document_is_found(spark):
     assert out[1].labels.split(",") == sorted({label for label, *_ in license_index.TEMPLATES})
 
 
+def test_licence_words_are_counted_over_all_documents(spark, monkeypatch):
+    """Documents without a gate string count too: a word of ordinary English isn't taken for a rare one."""
+    texts = ["Free public TERMS under general software; terms"] * 20 + ["licensed under cc by nc 4 0", "hereby", None, ""]
+    found, idf_of = {}, license_index.idf_of
+    monkeypatch.setattr(license_index, "idf_of", lambda *a: found.update(idf_of(*a)) or found)
+    license_index.scanned(table_of(spark, [(i, t, None, None, 0, *["x"] * 10) for i, t in enumerate(texts)])).collect()
+    assert found["free"] == found["terms"] == 25 / 21 and found["under"] == 25 / 22
+    assert found["cc"] == found["hereby"] == 25 / 2 and found["affero"] == 25
+
+
 @pytest.mark.parametrize("run", [adaptive_quality.judged, adaptive_quality.kept_documents, group_join.linked, group_join.representatives, suffix_merge.deduplicated, suffix_merge.cut_documents, weighted_mix.mix_of, weighted_mix.mixed_documents, license_index.scanned])
 def test_empty_tables(empty, run):
     assert run(empty).collect() == []

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from .shared import ascii_lower, own_columns, written
 
 LOWERED_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-RAW_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 #: Phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 #: Fixed values: (label, template, mandatory key phrase, a part of the template).
@@ -81,19 +80,18 @@ def _templates() -> Column:
     return F.array(*[F.struct(F.lit(label).alias("label"), _array(_words(t)).alias("words"), _array(_words(p)).alias("phrase"), F.lit(_phrase_at(_words(t), _words(p))).alias("at")) for label, t, p in TEMPLATES])
 
 
-def gated_words(text: Column) -> Column:
-    """The words of documents that may hold a template, else null. lower() only widens the gate."""
+def gated(text: Column) -> Column:
+    """Whether a document may hold a template. lower() only widens the gate."""
     lowered = F.lower(text)
     gate = lowered.contains(GATES[0])
     for g in GATES[1:]:
         gate = gate | lowered.contains(g)
-    gate = gate | lowered.rlike(GATE_PATTERN)
-    return F.when(gate, F.regexp_extract_all(ascii_lower(text), F.lit(LOWERED_WORD), F.lit(0)))
+    return gate | lowered.rlike(GATE_PATTERN)
 
 
 def idf_of(rows: DataFrame, total: int) -> dict[str, float]:
     """IDF of each licence word over all documents; at most one entry for each word of the vocabulary."""
-    seen = rows.select(F.explode(F.array_intersect("words", _array(VOCABULARY))).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    seen = rows.select(F.explode("licence_words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     found = {r["word"]: r["df"] for r in seen.collect()}
     return {w: (total + 1) / (found.get(w, 0) + 1) for w in VOCABULARY}
 
@@ -137,10 +135,13 @@ def matches_of(words: Column, idf: dict[str, float]) -> Column:
 
 def scanned(documents: DataFrame) -> DataFrame:
     """documents (doc_id, text) -> doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    base = own_columns(documents, ["doc_id", "text"]).select(
-        "doc_id", F.coalesce(F.call_function("regexp_count", F.col("text"), F.lit(RAW_WORD)), F.lit(0)).cast("long").alias("n_words"), gated_words(F.col("text")).alias("words")
-    )
-    # word arrays of the gated documents alone; the rest keep two numbers a row
+    texts = own_columns(documents, ["doc_id", "text"]).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    cut = texts.select("doc_id", gated(F.col("text")).alias("gate"), F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(LOWERED_WORD), F.lit(0)).alias("all_words"))
+    # word arrays of the gated documents alone; the rest keep their licence words, which the IDF counts over all documents
+    base = cut.select(
+        "doc_id", F.size("all_words").cast("long").alias("n_words"), F.when(F.col("gate"), F.col("all_words")).alias("words"),
+        F.array_intersect(_array(VOCABULARY), "all_words").alias("licence_words"),
+    )
     rows = written(base, "license-words")
     idf = idf_of(rows, rows.count())
     none = F.array().cast("array<struct<start:int,label:string>>")
