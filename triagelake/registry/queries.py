@@ -572,7 +572,8 @@ def _pool_and_base(spark, sf):
 @query
 def novelty_max_cosine(spark, sf):
     pool, base = _pool_and_base(spark, sf)
-    return r6(novelty.novelty_scores(pool, base), "diversity_score")
+    # the limit is the one that the SQL counterpart states
+    return r6(novelty.novelty_scores(pool, base, max_features=novelty.PUBLISHED_FEATURES), "diversity_score")
 
 
 @query
@@ -588,7 +589,7 @@ def _acquisition(spark, sf, strategy="hybrid_v2", with_novelty=True):
     scores = None
     if with_novelty:
         pool_texts, base_texts = _pool_and_base(spark, sf)
-        scores = novelty.novelty_scores(pool_texts, base_texts)
+        scores = novelty.novelty_scores(pool_texts, base_texts, max_features=novelty.PUBLISHED_FEATURES)
     return active.acquisition_scores(pool, scores, strategy=strategy)
 
 
