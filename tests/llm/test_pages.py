@@ -40,6 +40,14 @@ def test_archive_round_trip(pages):
     assert len({r.record_id for r in got}) == len(got)
 
 
+def test_http_records_with_other_schemes_are_linked(spark):
+    """A page is an HTTP record whatever its url's scheme."""
+    html = "<p>the same page</p>" * 100
+    rows = [(1, "dns:a"), (2, "http://b/"), (3, "filedesc://c"), (4, "http://d/")]
+    got = legacy_archive.archived(spark.createDataFrame([(i, u, html, *["x"] * 5) for i, u in rows], PAGES)).collect()
+    assert {(r.page_id, r.record_type, r.refers_to) for r in got} == {(1, "response", None), (2, "revisit", 1), (3, "revisit", 1), (4, "revisit", 1)}
+
+
 def test_arc_versions_and_lengths():
     import gzip
 

@@ -162,7 +162,7 @@ def _digests(spark: SparkSession, path: str) -> DataFrame:
                 rows, archive = [], ""
                 for number, head, block in arc_records(content.as_py()):
                     archive = archive if number else head["URL"].split("://")[-1]
-                    if number and head["URL"].split(":")[0] not in ("dns", "filedesc") and block.startswith(b"HTTP/"):
+                    if number and block.startswith(b"HTTP/"):
                         http, body = split_http(block)
                         rows.append((base32_sha1(body), len(body), _key(http), file.as_py(), number, archive, head["URL"], head["Archive-date"]))
                 if rows:
