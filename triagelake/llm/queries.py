@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import adaptive_quality, block_crf, group_join, legacy_archive, license_index, packing, rp_forest, suffix_merge, url_rules, weighted_mix
+from . import adaptive_quality, block_crf, group_join, histogram_packing, legacy_archive, lexical_rank, license_index, packing, residue_negatives, rp_forest, suffix_merge, url_rules, weighted_mix
 from .shared import table
 
 
@@ -55,4 +56,18 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_quality.judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_legacy_archive, op2_rp_forest, op3_group_join, op4_block_crf, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op9_packing, op10_adaptive_quality)}
+def op11_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_rank.ranked(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op12_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return residue_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), relabel=label)
+
+
+def op13_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = histogram_packing.packed(table(spark, sf_dir, "documents"), byte_bpe)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_legacy_archive, op2_rp_forest, op3_group_join, op4_block_crf, op5_license_scan, op6_url_rules, op7_suffix_merge, op8_weighted_mix, op9_packing, op10_adaptive_quality, op11_lexical_rank, op12_residue_negatives, op13_histogram_packing)}

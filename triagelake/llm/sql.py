@@ -118,3 +118,29 @@ mm AS (SELECT i, max(score) AS score, list(DISTINCT label) AS l FROM m GROUP BY
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(bb.n, 0) AS n_base, CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word, array_to_string(list_sort(coalesce(bb.l, [])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(bb.l, []), coalesce(mm.l, [])))), ',') AS labels, coalesce(score, 0.0) AS score
 FROM d LEFT JOIN bb USING (i) LEFT JOIN mm USING (i)"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op11_lexical_rank"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS i, doc_id, {_TERMS} AS w FROM documents),
+c AS (SELECT i, doc_id, CAST(len(w) AS BIGINT) AS n, w FROM d WHERE len(w) > 0),
+s AS (SELECT count(*) AS total, CAST(sum(n) AS BIGINT) AS words FROM c),
+p AS (SELECT i, t, count(*) AS tf FROM (SELECT i, unnest(w) AS t FROM c) GROUP BY ALL),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+q AS (SELECT row_number() OVER () AS j, item_id, {_TERMS} AS w FROM benchmark),
+k AS (SELECT j, t, count(*) AS often FROM (SELECT j, unnest(w) AS t FROM q) GROUP BY ALL),
+g AS (SELECT j, t, often, CAST(floor(1000 * ln((2 * total + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight FROM k JOIN f USING (t), s),
+v AS (SELECT j, i, CAST(sum(often * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * total) // words)))) AS BIGINT) AS score
+  FROM g JOIN p USING (t) JOIN c USING (i), s GROUP BY ALL),
+r AS (SELECT j, doc_id, score, row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM v JOIN c USING (i) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r JOIN q USING (j) WHERE rank <= 20"""
+
+SQL["op12_residue_negatives"] = """
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, vec_id AS negative_id, score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
