@@ -31,8 +31,8 @@ def term_counts(docs: DataFrame, keys: Sequence[str], terms: Column) -> DataFram
     ).agg(F.count("*").alias("tf"))
 
 
-def char_counts(docs: DataFrame, keys: Sequence[str], text: str = "text", ngrams: tuple[int, int] = (3, 5)) -> DataFrame:
-    """(keys..., term, tf) for character n-grams inside words.
+def char_counts(docs: DataFrame, keys: Sequence[str], text: str = "text", ngrams: tuple[int, int] = (3, 5), hashed: bool = False) -> DataFrame:
+    """(keys..., term, tf) for character n-grams inside words; ``hashed``: with the terms' 64-bit hashes in their place.
 
     The n-grams of a word do not depend on its surroundings, so words are
     counted first and only distinct words of a row are cut up. Both steps keep a
@@ -42,7 +42,8 @@ def char_counts(docs: DataFrame, keys: Sequence[str], text: str = "text", ngrams
     words = docs.select(*names, F.explode(tokens(col(text))).alias("word")).groupBy(*keys, "word").agg(
         F.count("*").alias("n")
     )
-    grams = words.select(*names, "n", F.explode(char_wb_ngrams(F.array("word"), *ngrams)).alias("term"))
+    terms = char_wb_ngrams(F.array("word"), *ngrams)
+    grams = words.select(*names, "n", F.explode(F.transform(terms, lambda t: F.xxhash64(t)) if hashed else terms).alias("term"))
     return grams.groupBy(*keys, "term").agg(F.sum("n").alias("tf"))
 
 

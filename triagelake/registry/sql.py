@@ -344,7 +344,7 @@ ct AS (SELECT id, term, count(*) AS tf FROM cg GROUP BY ALL)
 """
 SQL["char_ngrams"] = w(_CHAR, "SELECT term, CAST(sum(tf) AS BIGINT) AS total_tf, count(*) AS df FROM ct GROUP BY term")
 _NOVEL = """
-, voc AS (SELECT term, count(*) AS df FROM ct GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 30000),
+, voc AS (SELECT term, count(*) AS df FROM ct GROUP BY term),
 idf AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) + 1 AS idf FROM voc),
 wt AS (SELECT id, term, tf * idf AS w FROM ct JOIN idf USING (term)),
 un AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM wt),
