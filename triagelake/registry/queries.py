@@ -13,7 +13,7 @@ from ..functions.lexicon import (
 )
 from ..functions.text import clean_text, merge_title_body, safe_text, tokens
 from ..operators import (
-    active, comparison, conformal, evaluation, explain, generate, models, novelty, rollups, splits, tfidf,
+    active, comparison, conformal, evaluation, explain, generate, linear, models, novelty, rollups, splits, tfidf,
 )
 from ..operators.guardrail import apply_guardrail
 from ..operators.presentation import presentation_view
@@ -23,6 +23,7 @@ from ..operators.routing import impacted_departments
 from ..operators.scoring import align_probabilities
 from ..operators.thresholds import class_thresholds
 from ..plans import driver_tables as given
+from ..plans.batch import score_reviews
 from ..sources.documents import normalise_thresholds
 from ..sources.materialise import materialise
 
@@ -685,12 +686,10 @@ def _training(spark, sf):
 
 @query
 def train_eval_baseline(spark, sf):
-    """Calibrated word model of the language label: fitted, thresholds derived, tested."""
+    """Calibrated word model of the language label: fitted, tested."""
     d = _training(spark, sf)
-    train = d.filter("split = 'train'")
-    vectors = models.fit_text_vectors(train, models.Features("word", (1, 2), 2, 0.98))
-    model = models.fit_calibrated(vectors.transform(train), "department", "department")
-    test = model.transform(vectors.transform(d.filter("split = 'test'")))
+    model = models.fit_calibrated(d.filter("split = 'train'"), "department", "department", models.Features("word", (1, 2), 2, 0.98))
+    test = model.transform(d.filter("split = 'test'"))
     report = evaluation.class_report(evaluation.confusion_counts(test, "department", "pred_department"))
     return r6(report.select("class", "precision", "recall", "f1", "support"), "precision", "recall", "f1")
 
@@ -699,33 +698,57 @@ def train_eval_baseline(spark, sf):
 def calibrated_scores(spark, sf):
     """Class probabilities of a calibrated character model of the toxic label on the test rows."""
     d = _training(spark, sf)
-    train = materialise(models.task_text(d.filter("split = 'train'"), "sentiment"))
-    vectors = models.fit_text_vectors(train, models.Features("char_wb", (3, 5), 1, 0.98))
     model = models.fit_calibrated(
-        vectors.transform(train), "sentiment", "sentiment", weights=models.SENTIMENT_CLASS_WEIGHTS["logistic"],
+        d.filter("split = 'train'"), "sentiment", "sentiment", models.Features("char_wb", (3, 5), 1, 0.98),
+        weights=models.SENTIMENT_CLASS_WEIGHTS["logistic"], enriched=True,
     )
-    test = materialise(models.task_text(d.filter("split = 'test'"), "sentiment"))
-    out = model.transform(vectors.transform(test)).select("id", "pred_sentiment", "proba_sentiment_neg", "proba_sentiment_pos")
+    out = model.transform(d.filter("split = 'test'")).select("id", "pred_sentiment", "proba_sentiment_neg", "proba_sentiment_pos")
     return r6(out, "proba_sentiment_neg", "proba_sentiment_pos")
 
 
+def _ensemble(spark, sf):
+    d = _training(spark, sf)
+    return d, models.fit_stacked(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "department", "department")
+
+
 @query
 def stacked_ensemble(spark, sf):
-    d = _training(spark, sf)
-    model = models.fit_stacked(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "department", "department")
+    d, model = _ensemble(spark, sf)
     test = model.transform(d.filter("split = 'test'"))
     report = evaluation.class_report(evaluation.confusion_counts(test, "department", "pred_department"))
     return r6(report.select("class", "precision", "recall", "f1", "support"), "precision", "recall", "f1")
 
 
+@query
+def ensemble_batch_scores(spark, sf):
+    """Batch prediction of every document with a fitted ensemble for one task and cue shares for the other.
+
+    What must hold whatever was fitted: probabilities add up to 1, the prediction has the largest, the confidence is it.
+    """
+    _, model = _ensemble(spark, sf)
+
+    def scorer(df):
+        sentiment = ("proba_sentiment_neg", "proba_sentiment_pos", "pred_sentiment", "sentiment_confidence")
+        return model.transform(given.cue_share_scorer(df).select(*df.columns, *sentiment))
+
+    out = score_reviews(given.reviews(spark, sf), scorer, given.LEXICONS, {"default": 0.55}, given.SENTIMENT_THRESHOLDS, True)
+    p = [col(f"proba_department_{c}") for c in model.classes]
+    best = F.greatest(*p)
+    return out.select(
+        "id", F.round(sum(p[1:], p[0]), 6).alias("mass"), (F.col("department_confidence") == best).alias("confidence_is_largest"),
+        (F.element_at(F.create_map(*[x for c, v in zip(model.classes, p) for x in (F.lit(c), v)]), F.col("pred_department")) == best).alias("prediction_is_largest"),
+        (F.col("needs_review_diag") | (F.col("department_confidence") >= 0.55)).alias("doubtful_flagged"),
+    )
+
+
 @query
 def embedding_classifier(spark, sf):
     """Calibrated logistic model on the given vectors, tested on a stratified hold-out."""
     e = given.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("label").cast("string").alias("truth"), "embedding"
     )
-    rows = models.embedding_vectors(splits.stratified_split(e, F.col("truth")), "embedding").drop("embedding")
-    model = models.fit_calibrated(rows.filter(~F.col("is_test")), "route", "truth", c=1.0)
+    rows = materialise(splits.stratified_split(e, F.col("truth")))
+    model = models.fit_calibrated(rows.filter(~F.col("is_test")), "route", "truth", linear.Dense("embedding"), c=1.0)
     out = model.transform(rows.filter("is_test")).select("id", "truth", "pred_route", "route_confidence")
     return r6(out, "route_confidence")
 
@@ -736,3 +759,50 @@ def model_calibration_probe(spark, sf):
     d = _training(spark, sf)
     out = models.calibration_probe(d.filter("split = 'train'"), d.filter("split = 'calibration'"), "sentiment", "sentiment")
     return r6(out, "accuracy", "ece", "brier")
+
+
+# --- refits: all folds, seeds and candidates in the same passes --------------------------
+
+GRID = models.expand_grid("word", models.WORD_GRID)
+
+
+def _labelled_texts(spark, sf):
+    return materialise(given.prepare_text(given.labelled_reviews(spark, sf)).select("id", "text", "department", "sentiment"))
+
+
+@query
+def grid_search_report(spark, sf):
+    """The word grid of the toxic label: 12 candidates on 3 folds, each with its 3 calibrated fold models."""
+    out = models.grid_search(_labelled_texts(spark, sf), "sentiment", GRID, weights=models.SENTIMENT_CLASS_WEIGHTS["logistic"])
+    return r6(out.drop("folds"), "mean", "std")
+
+
+@query
+def cross_validation_report(spark, sf):
+    """Five folds with one candidate: every fold's macro-F1 and accuracy."""
+    out = models.cross_validate(_labelled_texts(spark, sf), "department", models.Features("word", (1, 2), 2, 0.98), 1.2)
+    return r6(out, "macro_f1", "accuracy")
+
+
+@query
+def multi_seed_report(spark, sf):
+    """Five hold-outs with one candidate: mean, deviation, smallest and largest of each metric."""
+    runs = models.multi_seed(_labelled_texts(spark, sf), "department", models.Features("word", (1, 2), 2, 0.98), 1.2)
+    return r6(models.seed_report(runs), "mean", "std", "min", "max")
+
+
+@query
+def fold_masks(spark, sf):
+    """Rows and document frequencies that each fold's feature space stands on, out of one count of the terms.
+
+    (fold, rows, terms, occurrences): terms the space keeps with min_df 2 and max_df 0.98, and the documents holding them.
+    """
+    rows = models.with_folds(_labelled_texts(spark, sf), "department", 5, 42, "id", models.OUTER)
+    source, masks = models.Features("word", (1, 2), 2, 0.98), [(models.OUTER, f) for f in range(5)]
+    counted = linear.count_rows(rows, "department", [source], [models.OUTER], masks)
+    out = []
+    for m in masks:
+        kept = counted.scale(source, m) > 0
+        df = counted.df[source.family][None] - counted.df[source.family][m]
+        out.append((m[1], counted.size[None] - counted.size[m], int(kept.sum()), int(df[kept].sum())))
+    return spark.createDataFrame(out, "fold int, rows long, terms long, occurrences long")

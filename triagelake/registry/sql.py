@@ -429,3 +429,16 @@ SELECT id, CASE WHEN contains(t, ',') AND {draw_sql('CAST(id AS VARCHAR)', '42-c
 
 SQL["typo_noise"] = "WITH " + typo_sql(
     (("of the", "ofthe"), ("de la", "dela")), {"the": "teh", "with": "wiht", "les": "lse", "und": "udn"}, 0.3)
+
+# --- trained models: what must hold whatever was fitted
+SQL["ensemble_batch_scores"] = """
+SELECT doc_id AS id, CAST(1 AS DOUBLE) AS mass, true AS confidence_is_largest, true AS prediction_is_largest, true AS doubtful_flagged FROM documents"""
+SQL["fold_masks"] = w(TXT + f"""
+, lab AS (SELECT tok.id, lang AS department, list_filter(tk, lambda x: length(x) >= 2) AS t FROM tok JOIN labels ON doc_id = tok.id),
+fo AS (SELECT *, {fold_sql('id', 'department', 5, 42)} AS fold FROM lab),
+g AS (SELECT DISTINCT id, fold, unnest({_GRAMS.format(t='t')}) AS term FROM fo),
+h AS (SELECT unnest(range(0, 5)) AS h),
+n AS (SELECT h, count(*) AS n FROM h JOIN fo ON fold <> h GROUP BY h),
+df AS (SELECT h, term, count(*) AS df FROM h JOIN g ON fold <> h GROUP BY ALL)""", """
+SELECT CAST(h AS INTEGER) AS fold, any_value(n) AS rows, count(*) AS terms, CAST(sum(df) AS BIGINT) AS occurrences
+FROM df JOIN n USING (h) WHERE df >= 2 AND df <= n * CAST(0.98 AS DOUBLE) GROUP BY h""")
