@@ -43,6 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream over its files; a table of one file is picked out of its folder by name."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(path)
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as (id, title, body, lang, source): the first line is the title."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,8 @@ from ..operators.thresholds import class_thresholds
 from ..plans import driver_tables as given
 from ..plans.batch import score_reviews
 from ..sources.documents import normalise_thresholds
-from ..sources.materialise import materialise
+from ..sources.materialise import materialise, new_folder
+from ..streaming import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -617,17 +619,16 @@ def queue_means(spark, sf):
 @query
 def token_explanations(spark, sf):
     """Top words per review for a fixed linear model: log-odds of a word by language."""
-    d = given.texts(spark, sf).select("id", "lang", "text")
-    counts = tfidf.term_counts(d, ["id"], tfidf.terms_of(F.col("text"), "word", (1, 1)))
-    vocab = tfidf.vocabulary(counts, d.agg(F.count("*")).scalar())
-    weights = tfidf.tfidf_weights(counts, vocab, ["id"], sublinear=True)
-    per_lang = weights.join(d.select("id", "lang"), "id").groupBy(F.col("lang").alias("class"), "term").agg(F.sum("weight").alias("s"))
-    means = per_lang.groupBy("term").agg((F.sum("s") / 4.0).alias("m"))
-    coefs = per_lang.join(means, "term").select("class", "term", F.round(F.col("s") - F.col("m"), 6).alias("coef"))
-    top = explain.top_terms(
-        weights.withColumn("weight", F.round("weight", 6)), d.select("id", F.col("lang").alias("class")), coefs, ["id"], 5
-    )
-    return r6(top.select("id", "rank", "term", "contribution"), "contribution")
+    d = given.texts(spark, sf).select("id", F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    source = linear.Features("word", (1, 1))
+    counted = linear.count_rows(d, "lang", [source])
+    sums = linear.class_sums(counted, source)
+    coefs = np.round(sums - sums.sum(axis=1, keepdims=True) / 4.0, 6)
+    number = F.array_position(F.array(*[F.lit(c) for c in counted.classes]), F.col("lang")).cast("int") - 1
+    top = models.top_term_lists(d, counted.vocabulary[source.family], counted.scale(source, None), coefs, 5, digits=6)
+    named = models.with_arrow(d, [source.terms(F.col("text")), source.hashed(F.col("text")), number], "top", models.TOP_TERMS, top)
+    ranked = named.filter("lang <> ''").select("id", F.posexplode("top").alias("place", "t"))
+    return r6(ranked.select("id", (F.col("place") + 1).alias("rank"), "t.term", "t.contribution"), "contribution")
 
 
 # --- generation and noise ----------------------------------------------------------
@@ -806,3 +807,42 @@ def fold_masks(spark, sf):
         df = counted.df[source.family][None] - counted.df[source.family][m]
         out.append((m[1], counted.size[None] - counted.size[m], int(kept.sum()), int(df[kept].sum())))
     return spark.createDataFrame(out, "fold int, rows long, terms long, occurrences long")
+
+
+# --- windowed load on events ---------------------------------------------------------------
+
+#: Event types as departments: hours to respond, tickets an hour; signup has the values for unknown ones.
+EVENT_LOAD = {
+    "window_hours": 8, "departments": ["click", "error", "purchase", "signup", "view"], "department": "event_type",
+    "sla_hours": {"click": 2.0, "error": 1.0, "purchase": 4.0, "view": 6.0}, "capacity_per_hour": {"click": 3.0, "error": 2.0, "purchase": 2.5, "view": 4.0},
+    "rounded": False,
+}
+EVENT_DELAY = "60 minutes"
+
+
+def _arrived():
+    """Events say how many minutes late they arrived."""
+    minutes = F.get_json_object("props", "$.k").cast("int")
+    return F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), minutes, F.lit(0))
+
+
+def _event_load():
+    return {**EVENT_LOAD, "urgent": F.coalesce(F.col("value") > 30.0, F.lit(False))}
+
+
+def _event_figures(df):
+    return r6(df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm")), "estimated_avg_response_hours", "estimated_sla_hit_rate")
+
+
+@query
+def windowed_load_events(spark, sf):
+    events = given.table(spark, sf, "events")
+    return _event_figures(load.windowed_load(load.on_time(events, "ts", _arrived(), EVENT_DELAY), "ts", **_event_load()))
+
+
+@query
+def windowed_load_stream(spark, sf):
+    """The same from a stream over the whole table, read to its end."""
+    stream, folder = given.table_stream(spark, sf, "events"), new_folder(spark)
+    load.stream_windowed_load(stream, "ts", _arrived(), EVENT_DELAY, f"{folder}/load", f"{folder}/checkpoint", **_event_load()).awaitTermination()
+    return _event_figures(load.read_windowed_load(spark, f"{folder}/load"))

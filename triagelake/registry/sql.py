@@ -442,3 +442,17 @@ n AS (SELECT h, count(*) AS n FROM h JOIN fo ON fold <> h GROUP BY h),
 df AS (SELECT h, term, count(*) AS df FROM h JOIN g ON fold <> h GROUP BY ALL)""", """
 SELECT CAST(h AS INTEGER) AS fold, any_value(n) AS rows, count(*) AS terms, CAST(sum(df) AS BIGINT) AS occurrences
 FROM df JOIN n USING (h) WHERE df >= 2 AND df <= n * CAST(0.98 AS DOUBLE) GROUP BY h""")
+
+# --- windowed load on events
+_WINDOWED = """
+WITH dep(department, sla, per_hour) AS (VALUES ('click', 2.0::DOUBLE, 3.0::DOUBLE), ('error', 1.0, 2.0), ('purchase', 4.0, 2.5), ('signup', 4.0, 8.0), ('view', 6.0, 4.0)),
+e AS (SELECT time_bucket(INTERVAL 8 HOUR, ts, TIMESTAMP '1970-01-01') AS win, event_type, coalesce(value > 30, false) AS urgent FROM events
+  WHERE CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) <= 60 AND ts IS NOT NULL),
+c AS (SELECT win, department, sla, per_hour * 8 AS cap, count(event_type) FILTER (WHERE event_type = department) AS volume,
+  count_if(event_type = department AND urgent) AS urgent FROM e, dep GROUP BY ALL),
+o AS (SELECT *, greatest(volume / cap - 1, 0) AS over, CASE WHEN volume > 0 THEN urgent / volume ELSE 0 END AS share FROM c)
+SELECT strftime(win, '%Y-%m-%d %H:%M') AS window_start, department, volume, CAST(8 AS INTEGER) AS window_hours, CAST(floor(cap) AS BIGINT) AS capacity_tickets,
+  greatest(volume - CAST(floor(cap) AS BIGINT), 0) AS backlog_estimated, sla AS sla_target_hours, round(sla * (1 + over * 1.75::DOUBLE), 6) AS estimated_avg_response_hours,
+  round(least(greatest(1 - over * 0.55::DOUBLE - share * 0.12::DOUBLE, 0), 1), 6) AS estimated_sla_hit_rate FROM o"""
+SQL["windowed_load_events"] = _WINDOWED
+SQL["windowed_load_stream"] = _WINDOWED

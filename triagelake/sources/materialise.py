@@ -13,6 +13,14 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/shared").rstrip("/")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path of its own in the shared folder, removed when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/triagelake/{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -22,8 +30,6 @@ def materialise(df: DataFrame) -> DataFrame:
     files go when the session's JVM ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/triagelake/{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
