@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from triagelake.operators import linear, models
 from triagelake.operators.generate import benchmark_family, synthetic_reviews
 from triagelake.functions.text import prepare_text
-from triagelake.plans.batch import score_reviews
+from triagelake.plans.batch import model_scorer, score_reviews
 from triagelake.sources.models import load_model, save_model, versions, write_arrays
 from triagelake.streaming.scoring import stream_scores
 
@@ -108,6 +108,23 @@ def test_stream_with_a_fitted_ensemble(spark, tmp_path):
     assert models.macro_f1(loaded["department"].transform(rows), "department", "department") > 0.9
 
 
+def test_batch_prediction_with_explanations(spark):
+    """Both linear: two columns of terms that occur in the text. A stacked model has none."""
+    rows = labelled(spark, 60)
+    one = models.fit_calibrated(rows, "department", "department", models.Features("word", (1, 2), 1, 0.98))
+    other = models.fit_calibrated(rows, "sentiment", "sentiment", models.Features("word", (1, 1), 1, 0.98), enriched=True)
+    out = score_reviews(rows.select("id", "title", "body"), model_scorer(one, other, 3), guardrail=False).collect()
+    assert len(out) == 60
+    for r in out:
+        terms = r["explain_dep_top_tokens"].split(", ")
+        assert 1 <= len(terms) <= 3 and all(f" {t} " in f" {r['text']} " for t in terms)
+        assert len(r["explain_sent_top_tokens"].split(", ")) <= 3
+    stacked = models.TextModel("department", one.classes, {"a": one.linear, "b": one.linear}, (np.eye(2 * len(one.classes), len(one.classes)), np.zeros(len(one.classes))))
+    scored = model_scorer(stacked, other, 3)(rows)
+    assert not [c for c in scored.columns if c.startswith("explain")]
+    assert scored.filter("department_confidence is null").count() == 0
+
+
 def test_isotonic_knots_interpolate():
     c = linear.Knots(boundaries=np.array([0.0, 1.0, 3.0]), values=np.array([0.1, 0.5, 0.9]))
     assert c.apply(np.array([-1.0, 0.0, 0.5, 1.0, 2.0, 9.0])) == pytest.approx([0.1, 0.1, 0.3, 0.5, 0.7, 0.9])

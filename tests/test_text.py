@@ -1,8 +1,9 @@
+import random
 import re
 import sys
 import unicodedata
 
-from triagelake.functions.lexicon import CueSet, Lexicons, lexicon_scores, sentinel_text
+from triagelake.functions.lexicon import CueSet, Lexicons, lexicon_scores, lexicon_scores_by_join, lexicon_table, sentinel_text
 from triagelake.functions.text import NFKC_BLOCKS, char_wb_ngrams, prepare_text, tokens, word_ngrams
 from pyspark.sql import functions as F
 
@@ -77,3 +78,22 @@ def test_sentinels(spark):
     got = [r[0] for r in df.select(sentinel_text(F.col("t"))).collect()]
     assert got == ["camera non pulita __HAS_NEGATION__", "tutto ottimo __HAS_POSITIVE_CUE__", ""] or "__HAS_CONTRAST__" not in got[1]
     assert "__HAS_NEGATION__" in got[0]
+
+
+def test_lexicon_join_equals_literals(spark):
+    """Phrases inside words, overlapping phrases, several words, negated cues; texts without a hit score 0."""
+    lex = Lexicons(
+        negative=CueSet(("bad", "cold"), ("a b", "b a", "the cold room", "old roo", "abc abcd")),
+        hazard=CueSet(("mould",), ("d r", "the cold")), positive=CueSet(("good",), ()), negators=("not",), departments={},
+    )
+    r = random.Random(4)
+    vocabulary = "a b ab ba abc abcd the cold room rooms bold not bad good mould d r".split()
+    texts = [" ".join(r.choices(vocabulary, k=r.randint(0, 12))) for _ in range(300)] + ["", None, "zzz", "Abc, ABCD!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    got = {(x["id"], x["lexicon"]): x["score"] for x in lexicon_scores_by_join(df, lexicon_table(spark, lex), lex.negators).collect()}
+    want = lexicon_scores(df, lex).collect()
+    assert len(got) == 3 * len(texts)
+    for x in want:
+        for name in ("negative", "hazard", "positive"):
+            assert got[x["id"], name] == x[f"{name}_score"], (texts[x["id"]], name)
+    assert any(got[i, "hazard"] > 2 for i in range(len(texts)))

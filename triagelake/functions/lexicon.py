@@ -222,14 +222,46 @@ def lexicon_table(spark: SparkSession, lex: Lexicons | None = None) -> DataFrame
     return spark.createDataFrame(rows, "lexicon string, cue string, is_phrase boolean, weight int")
 
 
+#: Letters on each side of a phrase's first blank that its places are looked up by.
+SEAM = 3
+
+
+def _seam(left: Column, right: Column, a: Column | int, b: Column | int) -> Column:
+    return F.concat(F.right(left, F.lit(a) if isinstance(a, int) else a), F.lit(" "), F.left(right, F.lit(b) if isinstance(b, int) else b))
+
+
+def phrases_by_join(docs: DataFrame, phrases: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, lexicon, cue, weight): the phrases contained in each clean text, overlapping ones and those inside words too.
+
+    A phrase holds a blank, and where it occurs the letters around its first blank do. These few letters are the join key: each text
+    gives its different seams, in the (at most SEAM * SEAM) shapes that the phrases have; only texts with a phrase's seam are searched
+    for the phrase.
+    """
+    head, rest = F.substring_index("cue", " ", 1), F.get(F.split("cue", " "), 1)
+    a, b = F.least(F.length(head), F.lit(SEAM)), F.least(F.length(rest), F.lit(SEAM))
+    seamed = phrases.select("lexicon", "cue", "weight", _seam(head, rest, a, b).alias("seam"), F.struct(a.alias("a"), b.alias("b")).alias("shape"))
+    shapes = F.coalesce(seamed.agg(F.collect_set("shape")).scalar(), F.array().cast("array<struct<a:int,b:int>>"))
+    words = tokens(F.col(text))
+    pairs = F.array_distinct(F.arrays_zip(words.alias("l"), F.slice(words, 2, 10**9).alias("r")))
+
+    def seams(p: Column) -> Column:
+        return F.transform(F.col("_shapes"), lambda s: _seam(p["l"], p["r"], s["a"], s["b"]))
+
+    asked = docs.withColumn("_shapes", shapes).withColumn("_pairs", pairs)
+    asked = asked.select(key, F.explode(F.array_distinct(F.flatten(F.transform(F.filter("_pairs", lambda p: p["r"].isNotNull()), seams)))).alias("seam"))
+    near = asked.join(seamed.drop("shape"), "seam").select(key, "lexicon", "cue", "weight").distinct()
+    return near.join(docs, key).filter(F.contains(F.col(text), F.col("cue"))).select(key, "lexicon", "cue", "weight")
+
+
 def lexicon_scores_by_join(
     df: DataFrame, table: DataFrame, negators: Sequence[str], key: str = "id", text: str = "text"
 ) -> DataFrame:
-    """Word-cue scores against a lexicon kept as a table (long form: key, lexicon, score).
+    """Scores against a lexicon kept as a table (long form: key, lexicon, score); texts without a hit score 0.
 
     For lexicons too big to be literals. The words of a row are counted before
     the join, so a frequent word reaches it once per row and not once per
     occurrence; whether the lexicon is broadcast is left to its measured size.
+    The key is unique and not null.
     """
     words = F.col("_words")
     negator_list = list(negators)
@@ -238,19 +270,20 @@ def lexicon_scores_by_join(
         flag = negated(words, i, negator_list) if negator_list else F.lit(False)
         return F.struct(w.alias("cue"), flag.alias("neg"))
 
+    docs = df.select(F.col(key), match_text(F.col(text)).alias("_text"))
     live = (
-        df.select(F.col(key), tokens(match_text(F.col(text))).alias("_words"))
+        docs.select(F.col(key), tokens(F.col("_text")).alias("_words"))
         .select(F.col(key), F.explode(F.transform(words, tagged)).alias("w"))
         .filter(~F.col("w.neg"))
         .groupBy(key, F.col("w.cue").alias("cue"))
         .agg(F.count("*").alias("n"))
     )
     cues = table.filter(~F.col("is_phrase")).select("lexicon", "cue", "weight")
-    return (
-        live.join(cues, "cue")
-        .groupBy(key, "lexicon")
-        .agg(F.sum(F.col("n") * F.col("weight")).alias("score"))
-    )
+    hits = live.join(cues, "cue").select(key, "lexicon", (F.col("n") * F.col("weight")).alias("score"))
+    found = phrases_by_join(docs, table.filter("is_phrase"), key, "_text").select(key, "lexicon", F.col("weight").cast("long").alias("score"))
+    names = table.agg(F.array_sort(F.collect_set("lexicon"))).scalar()  # a few labels
+    zeros = df.select(F.col(key), F.explode(names).alias("lexicon"), F.lit(0).cast("long").alias("score"))
+    return hits.unionByName(found).unionByName(zeros).groupBy(key, "lexicon").agg(F.sum("score").alias("score"))
 
 
 def unmatched_words(df: DataFrame, table: DataFrame, text: str = "text") -> DataFrame:
@@ -281,7 +314,3 @@ def sentinel_text(c: Column) -> Column:
             cond = cond | t
         marks.append(F.when(cond, F.lit(token)))
     return F.concat_ws(" ", base, *marks)
-
-
-def cue_count_total(names: Sequence[str], prefix: str = "_cue_") -> Column:
-    return total([polarity_score(n, prefix) for n in names])

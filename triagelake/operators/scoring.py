@@ -42,12 +42,3 @@ def refresh_prediction(df: DataFrame, task: str) -> DataFrame:
 def align_probabilities(df: DataFrame, task: str, classes: Sequence[str], out: str) -> DataFrame:
     """Probability columns as one array in the wanted class order."""
     return df.withColumn(out, F.array(*[col(proba_column(task, c)) for c in classes]))
-
-
-def probability_rows(df: DataFrame, task: str, keys: Sequence[str]) -> DataFrame:
-    """Wide probabilities to rows (keys..., class, p)."""
-    classes = prefixed_classes(df, f"proba_{task}_")
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("class"), col(proba_column(task, c)).alias("p")) for c in classes
-    ])
-    return df.select(*[col(k) for k in keys], F.inline(pairs))

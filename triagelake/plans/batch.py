@@ -10,12 +10,16 @@ from ..functions.base import require_columns
 from ..functions.lexicon import Lexicons, drop_cue_columns, with_cue_columns
 from ..functions.text import prepare_text
 from ..operators.guardrail import apply_guardrail
+from ..operators.models import TextModel
 from ..operators.risk import Thresholds, apply_operational_fields
 from ..operators.rollups import sla_load
 from ..operators.routing import impacted_departments
 from ..sources.documents import write_sla_summary
 from ..sources.reviews import write_predictions
 
+# The explanation columns
+EXPLANATIONS = ("explain_dep_top_tokens", "explain_sent_top_tokens")
+
 # A scorer adds proba_<task>_<class>, pred_<task> and <task>_confidence for both tasks.
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -64,6 +68,22 @@ def score_reviews(
     )
 
 
+def model_scorer(department: TextModel, sentiment: TextModel, explanations: int = 0) -> Scorer:
+    """A scorer of both tasks from fitted models.
+
+    ``explanations`` is the number of terms in the two explanation columns, which need both models to be linear and are left out
+    otherwise. Explanations belong to the model's own predictions, before the guardrail.
+    """
+    def score(df: DataFrame) -> DataFrame:
+        out = sentiment.transform(department.transform(df))
+        if explanations and department.linear is not None and sentiment.linear is not None:
+            out = department.explain(out, EXPLANATIONS[0], explanations)
+            out = sentiment.explain(out, EXPLANATIONS[1], explanations)
+        return out
+
+    return score
+
+
 def predict_batch(scored: DataFrame, predictions_path: str, sla_path: str, fmt: str = "csv", diagnostic_review: bool = True, window_hours: float = 8) -> None:
     """Export predictions and the load summary.
 

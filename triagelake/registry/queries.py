@@ -14,7 +14,7 @@ from ..functions.lexicon import (
 )
 from ..functions.text import clean_text, merge_title_body, safe_text, tokens
 from ..operators import (
-    active, comparison, conformal, evaluation, explain, generate, linear, models, novelty, rollups, splits, tfidf,
+    active, comparison, conformal, evaluation, generate, linear, models, novelty, rollups, splits, tfidf,
 )
 from ..operators.guardrail import apply_guardrail
 from ..operators.presentation import presentation_view

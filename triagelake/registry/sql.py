@@ -47,8 +47,8 @@ flag AS (SELECT id, w, coalesce(w1 IN ({n}), false) OR coalesce(w2 IN ({n}), fal
 _lex = " UNION ALL ".join(
     f"SELECT '{name}' AS lexicon, unnest([{q(sorted(set(s.cues)))}]) AS cue" for name, s in LEXICONS.polarity().items()
 )
-SQL["lexicon_by_join"] = w(_WORDS + f", lex AS ({_lex})", """
-SELECT id, lexicon, CAST(count(*) AS BIGINT) AS score FROM flag JOIN lex ON cue = w WHERE NOT neg GROUP BY ALL""")
+SQL["lexicon_by_join"] = w(CUES, " UNION ALL ".join(
+    f"SELECT id, '{name}' AS lexicon, CAST({score} AS BIGINT) AS score FROM sc" for name, score in (("negative", "neg_s"), ("hazard", "haz_s"), ("positive", "pos_s"))))
 SQL["lexicon_unmatched"] = w(_WORDS + f", lex AS ({_lex})", """
 SELECT w AS cue, count(*) AS n FROM pos WHERE w NOT IN (SELECT cue FROM lex) GROUP BY ALL""")
 SQL["negation_window"] = w(_WORDS, f"""

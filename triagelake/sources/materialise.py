@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; else the context's own, or one inside the warehouse."""
+    """The folder the cluster names for checkpoints; else the context's own. In local mode, one inside the warehouse will do."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (folder or spark.conf.get("spark.sql.warehouse.dir") + "/shared").rstrip("/")
 
 
