@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from triagelake.operators import evaluation, models, ranking, rollups
+from triagelake.operators import evaluation, linear, models, ranking, rollups
 from triagelake.sources.materialise import materialise, shared_folder
 
 
@@ -29,8 +29,8 @@ def test_sigmoid_calibration_converges(spark):
     r = np.random.default_rng(1)
     m = r.normal(0, 30, 400)
     y = (r.random(400) < 1 / (1 + np.exp(-(0.4 * m - 2)))).astype(int)
-    rows = [(float(b), [float(-a), float(a)]) for a, b in zip(m, y, strict=True)]
-    fitted = models._fit_sigmoids(spark.createDataFrame(rows, "label double, _m array<double>"), 2)[1]
+    rows = [(j, float(a if j else -a), bool(b == j)) for a, b in zip(m, y, strict=True) for j in range(2)]
+    fitted = linear.fit_sigmoids(spark.createDataFrame(rows, "j long, m double, mine boolean"))[1]
     n, pos = len(y), y.sum()
     t = np.where(y == 1, (pos + 1) / (pos + 2), 1 / (n - pos + 2))
     p = 1 / (1 + np.exp(-(fitted.slope * m + fitted.offset)))
@@ -40,9 +40,8 @@ def test_sigmoid_calibration_converges(spark):
 def test_two_class_svm_has_coefficients(spark):
     rows = [(i, "good" if i % 2 else "bad", "fine nice" if i % 2 else "awful dirty") for i in range(40)]
     d = spark.createDataFrame(rows, "id long, label_text string, text string")
-    vectors = models.fit_text_vectors(d, models.Features("word", (1, 1)))
-    model = models.fit_calibrated(vectors.transform(d), "t", "label_text", kind="svm", max_iter=50)
-    coefs = {(r["class"], r.term): r.coef for r in model.coefficients(spark, vectors.terms).collect()}
+    model = models.fit_calibrated(d, "t", "label_text", models.Features("word", (1, 1)), kind="svm")
+    coefs = {(r["class"], r.term): r.coef for r in model.coefficients(d).collect()}
     assert coefs["good", "nice"] > 0 > coefs["bad", "nice"]
 
 

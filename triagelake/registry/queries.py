@@ -626,7 +626,7 @@ def token_explanations(spark, sf):
     coefs = np.round(sums - sums.sum(axis=1, keepdims=True) / 4.0, 6)
     number = F.array_position(F.array(*[F.lit(c) for c in counted.classes]), F.col("lang")).cast("int") - 1
     top = models.top_term_lists(d, counted.vocabulary[source.family], counted.scale(source, None), coefs, 5, digits=6)
-    named = models.with_arrow(d, [source.terms(F.col("text")), source.hashed(F.col("text")), number], "top", models.TOP_TERMS, top)
+    named = models.with_arrow(d, [source.terms(F.col("text")), source.hashed(F.col("text")), number], "top", models.TOP_TERMS, top, ["id", "lang"])
     ranked = named.filter("lang <> ''").select("id", F.posexplode("top").alias("place", "t"))
     return r6(ranked.select("id", (F.col("place") + 1).alias("rank"), "t.term", "t.contribution"), "contribution")
 
