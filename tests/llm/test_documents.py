@@ -132,6 +132,40 @@ def test_group_join_links_across_stars(spark):
     same(group_join.linked(table_of(spark, rows)).collect(), brute_components(rows))
 
 
+def test_copies_add_no_entries(spark):
+    """16 copies of each document over 16 partitions give the index of one."""
+    rows = [(i, t, "en", "a", 0, *["x"] * 10) for i, (_, t, *_) in enumerate(ROWS)]
+
+    def entries(table):
+        order = group_join.Order(*group_join.frequent_shingles(table))
+        members = group_join.classified(table, order).where("n > 0")
+        groups = members.groupBy("g").agg({"r": "min"}).withColumnRenamed("min(r)", "r")
+        index = group_join.prefix_index(table, order, groups).cache()
+        shared = [tuple(r) for r in group_join.shared_entries(index).select("token", "g").collect()]
+        assert len(shared) == len(set(shared))
+        return index.count(), index.select("token", "g").distinct().count()
+
+    one = table_of(spark, rows).select("doc_id", "text")
+    copies = one.crossJoin(spark.range(16).select("id")).selectExpr("doc_id + 100000 * id AS doc_id", "text").repartition(16, "doc_id")
+    (_, alone), (emitted, distinct) = entries(one), entries(copies)
+    assert emitted <= 1.01 * distinct
+    assert abs(distinct - alone) <= alone / 10  # prefixes depend on which shingles count as frequent
+
+
+def test_group_join_between_many_components(spark):
+    """Entries of one large component and several small ones, with sizes on both sides of a bucket's edge."""
+    rows = []
+    for size in (12, 13, 20, 26, 27, 60):
+        for family in range(3):
+            base = [f"common{i}" for i in range(size)] if family < 2 else [f"f{family}w{i}" for i in range(size)]
+            for j in range(8):
+                words = list(base)
+                words[(j * 5 + family) % size] = f"x{size}{family}{j % 5}"
+                rows.append(" ".join(words + [f"tail{family}{i}" for i in range(j % 3)]))
+    rows = [(i, t, "en", "a", 0, *["x"] * 10) for i, t in enumerate(rows)]
+    same(group_join.linked(table_of(spark, rows)).collect(), brute_components(rows))
+
+
 def test_one_of_each_group_stays(docs):
     kept = group_join.representatives(docs)
     assert kept.columns == docs.columns

@@ -8,14 +8,18 @@ Classes with identical prefix and size form a group, and the prefix index holds
 1. every group meets one partner, the smallest group of the index entry that they share most often; its classes are verified
    against that partner's first class, and classes inside a group against the group's first class;
 2. what those links have connected needs no further look: only pairs that stand in one index entry but in different
-   components remain. Expanded to classes, they pass the size and position filters and a bound by bitmaps: a set is folded
-   into PARITY bits, each the parity of the elements that fall on it, and two sets differ in as many elements at least as
-   their bitmaps in bits. A pair that is known to share an earlier prefix element is left to that element's entry;
+   components remain. They are found between groups: of an entry's components the one with the most groups only meets the
+   other ones' groups, so an entry costs little more than its pairs between components. Pairs of groups pass the size and
+   position filters, a pair known to share an earlier prefix element is left to that element's entry, and each pair is kept
+   once. Expanded to classes, they pass a bound by bitmaps: a set is folded into PARITY bits, each the parity of the elements
+   that fall on it, and two sets differ in as many elements at least as their bitmaps in bits;
 3. of these pairs each class first verifies the one with the fewest differing bits, and then all that are still in different
    components are verified.
 
 So a large group of near copies costs one comparison a member, not one a pair, and no link between components is lost.
-Sets are looked up for candidates only: a bit table of fixed size tells the scan which classes may be candidates.
+Sets are looked up for candidates only: a bit table of fixed size tells the scan which classes may be candidates. Another one
+lets only one document of each group into the index, so copies add no entries, wherever they lie. A partner's text is sent once
+for each block of MEMBERS members.
 
 Defined cases: null or empty text, or text without words, has an empty set, n_shingles 0 and links with nothing; fewer words
 than a shingle count as one shingle of the whole sequence; repeated rows and repeated or null doc_ids are members of their
@@ -47,6 +51,10 @@ PARITY = 1024
 #: Prefix elements that rows carry with their positions, to see whether a pair meets in an earlier entry: the first frequent
 #: ones, as a text's own rare shingles are in no other prefix, else the first of all.
 EARLY = 4
+#: Members that one copy of their partner's text is compared with.
+MEMBERS = 256
+#: Sizes of one bucket lie within this ratio. It exceeds DEN / NUM, so sizes that fit are in one or in neighbouring buckets.
+SIZE_RATIO = 1.3
 #: Bits of the candidate table (2 MB at most); with more candidates it only lets more classes through.
 BITS = 1 << 24
 
@@ -185,31 +193,38 @@ def classified(documents: DataFrame, order: Order) -> DataFrame:
     return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long, " + ", ".join(f"{b} long" for b in BITMAP + FIRST))
 
 
-def prefix_index(documents: DataFrame, order: Order) -> DataFrame:
-    """(token, g, place, frequent): one row for each group and prefix element; place is size * 2**24 + position."""
+def prefix_index(documents: DataFrame, order: Order, groups: DataFrame) -> DataFrame:
+    """(token, g, place, frequent) of one document of each group, r in groups; place is size * 2**24 + position. Rows that the
+    bit table lets through by chance repeat entries."""
+    only = documents.sparkSession.sparkContext.broadcast(bit_table(groups.select("r"), BITS))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # groups of this partition: copies add nothing
-        for batch in K.slices(batches, 0):
-            _, g, n, prefix, pre_at, frequent, *_ = _keys(order, batch.column(0))
-            new = np.zeros(len(n), bool)
-            for i in np.flatnonzero(n):
-                if g[i] not in seen:
-                    seen.add(g[i])
-                    new[i] = True
-            rows = K.rows_of(pre_at)
-            keep = new[rows]
-            place = (n[rows] << 24) + (np.arange(len(rows)) - pre_at[rows])
-            yield pa.RecordBatch.from_arrays([pa.array(prefix[keep].view(np.int64)), pa.array(g.view(np.int64)[rows[keep]]), pa.array(place[keep]), pa.array(frequent[keep])], names=["token", "g", "place", "frequent"])
-
-    return documents.select("text").mapInArrow(scan, "token long, g long, place long, frequent boolean")
+        seen: set[int] = set()  # groups of this partition
+        for whole in batches:
+            rows = whole.column(0).to_numpy(zero_copy_only=False)
+            chosen = whole.take(pa.array(np.flatnonzero(maybe_in(only.value, rows.view(np.uint64))), pa.int64()))
+            for batch in K.slices(iter([chosen]), 1):
+                _, g, n, prefix, pre_at, frequent, *_ = _keys(order, batch.column(1))
+                new = np.zeros(len(n), bool)
+                for i in np.flatnonzero(n):
+                    if g[i] not in seen:
+                        seen.add(g[i])
+                        new[i] = True
+                rows = K.rows_of(pre_at)
+                keep = new[rows]
+                place = (n[rows] << 24) + (np.arange(len(rows)) - pre_at[rows])
+                yield pa.RecordBatch.from_arrays([pa.array(prefix[keep].view(np.int64)), pa.array(g.view(np.int64)[rows[keep]]), pa.array(place[keep]), pa.array(frequent[keep])], names=["token", "g", "place", "frequent"])
+
+    return documents.select(F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, "token long, g long, place long, frequent boolean")
 
 
 def shared_entries(index: DataFrame) -> DataFrame:
-    """(token, g, place, partner): entries that several groups share, with their smallest group."""
+    """(token, g, place, partner): entries that several groups share, each once, with their smallest group."""
+    once = lambda df: df.groupBy("token", "g").agg(F.first("place").alias("place"))
     rare = Window.partitionBy("token")
-    split = index.where("NOT frequent").withColumns({"partner": F.min("g").over(rare), "last": F.max("g").over(rare)}).where("partner <> last")
-    hot = index.where("frequent")
+    # dealt by token alone, so that the window needs no exchange of its own
+    split = once(index.where("NOT frequent").repartition("token")).withColumns({"partner": F.min("g").over(rare), "last": F.max("g").over(rare)}).where("partner <> last")
+    hot = once(index.where("frequent"))
     # at most FREQUENT rows: the tokens come from the frequent list
     ends = hot.groupBy("token").agg(F.min("g").alias("partner"), F.max("g").alias("last")).where("partner <> last")
     return split.select("token", "g", "place", "partner").union(hot.join(F.broadcast(ends), "token").select("token", "g", "place", "partner"))
@@ -235,8 +250,12 @@ def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> Data
                 yield batch.take(pa.array(keep, pa.int64()))
 
     texts = documents.select(F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, "r long, text string")
-    with_b = pairs.join(texts.select(F.col("r").alias("rb"), F.col("text").alias("tb")), "rb")
-    both = with_b.join(texts.select(F.col("r").alias("ra"), F.col("text").alias("ta")), "ra").select("a", "b", "ta", "tb")
+    # members travel to their partner, whose text is there once a block
+    blocks = pairs.groupBy("rb").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
+    dealt = pairs.join(blocks, "rb").select("a", "b", "ra", "rb", F.pmod(F.xxhash64("ra"), "blocks").alias("block"))
+    with_a = dealt.join(texts.select(F.col("r").alias("ra"), F.col("text").alias("ta")), "ra")
+    partners = blocks.join(texts.select(F.col("r").alias("rb"), F.col("text").alias("tb")), "rb").select("rb", "tb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    both = with_a.join(partners, ["rb", "block"]).select("a", "b", "ta", "tb")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for half in K.slices(batches, 2):
@@ -253,20 +272,54 @@ def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> Data
 LINKED = f"{DEN} * common >= {NUM} * (na + nb - common)"
 
 
+def open_groups(entries: DataFrame, groups: DataFrame, rooted: DataFrame) -> DataFrame:
+    """(ga, gb): different pairs of groups that may hold a link between components; a group of several components with itself."""
+    spans = rooted.groupBy("g").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+    placed = entries.join(spans, "g").select("token", "g", "place", "r1", "r2")
+    # an entry's components, and of those that groups have to themselves the one with the most groups
+    sizes = placed.groupBy("token", "r1").agg(F.max("r2").alias("r2"), F.count_if(F.expr("r1 = r2")).alias("n"))
+    mostly = sizes.groupBy("token").agg(F.min("r1").alias("low"), F.max("r2").alias("high"), F.max_by("r1", F.struct("n", "r1")).alias("most")).where("low <> high").select("token", "most")
+    rows = placed.join(mostly, "token").join(groups.select("g", *FIRST), "g")
+    n = F.shiftright("place", 24)
+    rows = rows.select("token", "g", "r1", "r2", n.alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), F.expr("r1 <> r2 OR r1 <> most").alias("other"), F.floor(F.log(n) / F.log(F.lit(SIZE_RATIO))).alias("bucket"), *FIRST)
+    x = rows.where("other").withColumn("bucket", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1))).alias("x")
+    y = rows.alias("y")
+    earlier = " OR ".join(f"(x.p{i} < x.pos AND y.p{j} < y.pos AND x.f{i} = y.f{j})" for i in range(EARLY) for j in range(EARLY))
+    met = x.join(y, F.expr(f"""
+        x.token = y.token AND x.bucket = y.bucket
+        AND x.g <> y.g AND (NOT y.other OR x.g < y.g)
+        AND NOT (x.r1 = y.r2 AND x.r2 = y.r1)
+        AND {NUM} * greatest(x.n, y.n) <= {DEN} * least(x.n, y.n)
+        AND {DEN + NUM} * least(x.n - x.pos, y.n - y.pos) >= {NUM} * (x.n + y.n)
+        AND NOT coalesce({earlier}, false)
+    """))
+    own = spans.where("r1 <> r2").select(F.col("g").alias("ga"), F.col("g").alias("gb"))
+    return met.select(F.least("x.g", "y.g").alias("ga"), F.greatest("x.g", "y.g").alias("gb")).distinct().union(own)
+
+
+def open_classes(pairs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Pairs of groups -> (a, b, differ): their pairs of classes of different components that the bitmaps don't rule out."""
+    of = lambda side: rooted.select(F.col("g").alias(f"g{side}"), F.struct("k", "n", "root", *BITMAP).alias(side))
+    differ = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in BITMAP)
+    ends = pairs.select(F.col("ga").alias("gx"), F.col("gb").alias("gy")).join(of("x"), "gx").join(of("y"), "gy")
+    ends = ends.where(f"x.root <> y.root AND (gx <> gy OR x.k < y.k) AND {DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)")
+    return ends.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.expr(differ).alias("differ"))
+
+
 def joined(documents: DataFrame) -> DataFrame:
     """documents (doc_id, text) -> doc_id, r, n_shingles, component_id, stays; r is the hash of doc_id and text, and `stays` the
     r of the one document of the component that stays: the smallest doc_id's."""
     order = Order(*frequent_shingles(documents))
     members = written(classified(documents, order), "join-members")
     classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays"), *[F.first(b).alias(b) for b in BITMAP + FIRST]), "join-classes")
-    groups = classes.groupBy("g").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.min("n").alias("n"))
-    entries = shared_entries(prefix_index(documents, order))
+    # size and prefix are the group's, so are its first elements
+    groups = written(classes.groupBy("g").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.min("n").alias("n"), F.min("stays.r").alias("r"), *[F.first(c).alias(c) for c in FIRST]), "join-groups")
+    entries = written(shared_entries(prefix_index(documents, order, groups)), "join-entries")
     # a group of several classes is an entry of its own
     inside = groups.where("first <> last").select(F.col("g").alias("token"), "g", F.shiftleft("n", 24).alias("place"), F.col("g").alias("partner"))
-    entries = written(entries.union(inside), "join-entries")
 
     first = groups.select(F.col("g").alias("partner"), F.col("first").alias("b"), F.col("n").alias("partner_n"))
-    shares = entries.groupBy("g", "partner", F.shiftright("place", 24).alias("n")).agg(F.count("*").alias("times"))
+    shares = entries.union(inside).groupBy("g", "partner", F.shiftright("place", 24).alias("n")).agg(F.count("*").alias("times"))
     own = shares.where("g = partner").select("g", "partner")
     best = shares.where("g <> partner").join(first, "partner").where(f"{NUM} * greatest(n, partner_n) <= {DEN} * least(n, partner_n)").groupBy("g").agg(F.max_by("partner", F.struct("times", "partner")).alias("partner"))
     chosen = own.union(best).distinct().join(first, "partner").join(classes.select("g", F.col("k").alias("a")), "g")
@@ -274,22 +327,8 @@ def joined(documents: DataFrame) -> DataFrame:
     links = one.where(LINKED).select("a", "b")
     roots = written(components(links), "join-roots")
 
-    # entries whose classes are in different components, at class level
-    rooted = classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "g", F.coalesce("root", "k").alias("root"), *BITMAP, *FIRST)
-    by_group = rooted.groupBy("g").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-    open_ = entries.join(by_group, "g").groupBy("token").agg(F.min("r1").alias("r1"), F.max("r2").alias("r2")).where("r1 <> r2").select("token")
-    rows = entries.join(open_, "token", "left_semi").join(rooted, "g").select("token", "k", "root", F.shiftright("place", 24).alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), *BITMAP, *FIRST)
-    x, y = rows.alias("x"), rows.alias("y")
-    differ = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in BITMAP)
-    earlier = " OR ".join(f"(x.p{i} < x.pos AND y.p{j} < y.pos AND x.f{i} = y.f{j})" for i in range(EARLY) for j in range(EARLY))
-    pairs = x.join(y, F.expr(f"""
-        x.token = y.token AND x.root < y.root
-        AND {NUM} * greatest(x.n, y.n) <= {DEN} * least(x.n, y.n)
-        AND {DEN + NUM} * least(x.n - x.pos, y.n - y.pos) >= {NUM} * (x.n + y.n)
-        AND NOT coalesce({earlier}, false)
-        AND {DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)
-    """))
-    pairs = written(pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.expr(differ).alias("differ")).distinct(), "join-open")
+    rooted = written(classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "g", "n", F.coalesce("root", "k").alias("root"), *BITMAP), "join-rooted")
+    pairs = written(open_classes(open_groups(entries, groups, rooted), rooted), "join-open")
     best = pairs.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("b")).union(pairs.groupBy("b").agg(F.min(F.struct("differ", "a"))["a"].alias("a")).select("a", "b")).distinct()
     best = written(best, "join-best")
     links = written(links.union(verified(documents, best, classes).where(LINKED).select("a", "b")), "join-links")
