@@ -53,6 +53,8 @@ PARITY = 1024
 EARLY = 4
 #: Members that one copy of their partner's text is compared with.
 MEMBERS = 256
+#: Parts of a frequent element's entries.
+SPREAD = 64
 #: Sizes of one bucket lie within this ratio. It exceeds DEN / NUM, so sizes that fit are in one or in neighbouring buckets.
 SIZE_RATIO = 1.3
 #: Bits of the candidate table (2 MB at most); with more candidates it only lets more classes through.
@@ -220,14 +222,16 @@ def prefix_index(documents: DataFrame, order: Order, groups: DataFrame) -> DataF
 
 def shared_entries(index: DataFrame) -> DataFrame:
     """(token, g, place, partner): entries that several groups share, each once, with their smallest group."""
-    once = lambda df: df.groupBy("token", "g").agg(F.first("place").alias("place"))
-    rare = Window.partitionBy("token")
-    # dealt by token alone, so that the window needs no exchange of its own
-    split = once(index.where("NOT frequent").repartition("token")).withColumns({"partner": F.min("g").over(rare), "last": F.max("g").over(rare)}).where("partner <> last")
-    hot = once(index.where("frequent"))
+    # one scan for both kinds: a rare token's entries lie together, a frequent one's are dealt over SPREAD parts
+    part = F.when(F.col("frequent"), F.pmod("g", F.lit(SPREAD))).otherwise(0).alias("part")
+    dealt = index.select("token", part, "g", "place", "frequent").repartition("token", "part")
+    together = Window.partitionBy("token", "part")
+    once = dealt.groupBy("token", "part", "g").agg(F.first("place").alias("place"), F.first("frequent").alias("frequent"))
+    met = written(once.withColumns({"low": F.min("g").over(together), "high": F.max("g").over(together)}).where("frequent OR low <> high").drop("part"), "join-met")
     # at most FREQUENT rows: the tokens come from the frequent list
-    ends = hot.groupBy("token").agg(F.min("g").alias("partner"), F.max("g").alias("last")).where("partner <> last")
-    return split.select("token", "g", "place", "partner").union(hot.join(F.broadcast(ends), "token").select("token", "g", "place", "partner"))
+    ends = met.where("frequent").groupBy("token").agg(F.min("low").alias("partner"), F.max("high").alias("last")).where("partner <> last").select("token", "partner")
+    hot = met.where("frequent").join(F.broadcast(written(ends, "join-ends")), "token")
+    return met.where("NOT frequent").select("token", "g", "place", F.col("low").alias("partner")).union(hot.select("token", "g", "place", "partner"))
 
 
 def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -314,7 +318,7 @@ def joined(documents: DataFrame) -> DataFrame:
     classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays"), *[F.first(b).alias(b) for b in BITMAP + FIRST]), "join-classes")
     # size and prefix are the group's, so are its first elements
     groups = written(classes.groupBy("g").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.min("n").alias("n"), F.min("stays.r").alias("r"), *[F.first(c).alias(c) for c in FIRST]), "join-groups")
-    entries = written(shared_entries(prefix_index(documents, order, groups)), "join-entries")
+    entries = shared_entries(prefix_index(documents, order, groups))
     # a group of several classes is an entry of its own
     inside = groups.where("first <> last").select(F.col("g").alias("token"), "g", F.shiftleft("n", 24).alias("place"), F.col("g").alias("partner"))
 
