@@ -21,14 +21,55 @@ DEPARTMENTS = ("Housekeeping", "Reception", "F&B")
 SENTIMENTS = ("pos", "neg")
 
 # --- Fixed values: profile probabilities, part probabilities, typos ----------
-PROFILE_FIELDS = (
-    "ambiguity", "mixed", "noise", "neutral_title", "title_hint", "colloquial", "story", "context", "dep_flip", "sent_flip",
-)
 PROFILES = {
-    "train": (0.24, 0.35, 0.00, 0.52, 0.22, 0.48, 0.40, 0.34, 0.03, 0.06),
-    "ambiguous": (0.62, 0.70, 0.03, 0.70, 0.16, 0.58, 0.48, 0.44, 0.10, 0.13),
-    "colloquial": (0.32, 0.28, 0.04, 0.78, 0.10, 0.88, 0.76, 0.68, 0.00, 0.00),
-    "noisy": (0.46, 0.55, 0.18, 0.62, 0.18, 0.54, 0.44, 0.38, 0.10, 0.18),
+    "train": {
+        "ambiguity": 0.24,
+        "mixed": 0.35,
+        "noise": 0.00,
+        "neutral_title": 0.52,
+        "title_hint": 0.22,
+        "colloquial": 0.48,
+        "story": 0.40,
+        "context": 0.34,
+        "dep_flip": 0.03,
+        "sent_flip": 0.06,
+    },
+    "ambiguous": {
+        "ambiguity": 0.62,
+        "mixed": 0.70,
+        "noise": 0.03,
+        "neutral_title": 0.70,
+        "title_hint": 0.16,
+        "colloquial": 0.58,
+        "story": 0.48,
+        "context": 0.44,
+        "dep_flip": 0.10,
+        "sent_flip": 0.13,
+    },
+    "colloquial": {
+        "ambiguity": 0.32,
+        "mixed": 0.28,
+        "noise": 0.04,
+        "neutral_title": 0.78,
+        "title_hint": 0.10,
+        "colloquial": 0.88,
+        "story": 0.76,
+        "context": 0.68,
+        "dep_flip": 0.00,
+        "sent_flip": 0.00,
+    },
+    "noisy": {
+        "ambiguity": 0.46,
+        "mixed": 0.55,
+        "noise": 0.18,
+        "neutral_title": 0.62,
+        "title_hint": 0.18,
+        "colloquial": 0.54,
+        "story": 0.44,
+        "context": 0.38,
+        "dep_flip": 0.10,
+        "sent_flip": 0.18,
+    },
 }
 OPENING_SHARE = 0.78
 CLOSING_SHARE = 0.62
@@ -70,12 +111,12 @@ class Corpus:
         "neg": ("Male {a} e pure {b}.", "Da rivedere {a} insieme a {b}."),
     })
     contexts: Mapping[str, Sequence[str]] = field(default_factory=lambda: {
-        "pos": ("Con i bambini ha fatto la differenza.", "Dopo il viaggio era quello che serviva."),
-        "neg": ("Dopo il viaggio ha pesato molto.", "Con i bambini è stato faticoso."),
+        "pos": ("Eravamo in quattro e nessuno si è lamentato.", "In una settimana di pioggia ci ha salvato le giornate."),
+        "neg": ("Eravamo in quattro e ci siamo innervositi tutti.", "In una settimana di pioggia non c'era altro da fare."),
     })
     mixed: Mapping[str, Sequence[str]] = field(default_factory=lambda: {
-        "pos": ("Detto questo, qualche dettaglio si può migliorare.",),
-        "neg": ("Per correttezza, lo staff ci ha provato.",),
+        "pos": ("Un paio di cose però andrebbero sistemate.",),
+        "neg": ("La buona volontà di chi lavora lì si vedeva.",),
     })
     cross: Sequence[str] = ("Si è aggiunto anche il tema di {a} e {b}.", "Segnalo pure {a} e {b}.")
     closings: Mapping[str, Sequence[str]] = field(default_factory=lambda: {
@@ -126,7 +167,7 @@ def balanced_plan(ids: DataFrame, seed: int, buckets: int, key: str = "id", out:
 
 def label_noise(df: DataFrame, seed: int, profile: str = "train", key: str = "id") -> DataFrame:
     """Flip department and sentiment labels at the rates of a profile."""
-    rates = dict(zip(PROFILE_FIELDS, PROFILES[profile]))
+    rates = PROFILES[profile]
     draw = lambda salt: uniform(col(key), f"{seed}-{salt}")
     flipped = F.when(col("sentiment") == "pos", "neg").otherwise("pos")
     return df.withColumns({
@@ -176,7 +217,7 @@ def synthetic_reviews(ids: DataFrame, seed: int, profile: str = "train", key: st
     """(id, title, body, department, sentiment) for every id: balanced over the six
     label pairs, text from the clean labels, then label noise and typos."""
     corpus = corpus or Corpus()
-    p = dict(zip(PROFILE_FIELDS, PROFILES[profile]))
+    p = PROFILES[profile]
     draw = lambda salt: uniform(col("id"), f"{seed}-{salt}")
     plan = balanced_plan(ids.select(col(key).alias("id")), seed, len(DEPARTMENTS) * len(SENTIMENTS))
     rows = plan.select(
