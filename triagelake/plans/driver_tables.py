@@ -35,10 +35,6 @@ SENTIMENT_THRESHOLDS = {"default": 0.60, "neg": 0.65}
 ROUTE_CLASSES = tuple(str(i) for i in range(10))
 
 
-#: Setting that deals the documents out anew before CPU-bound steps: for files of a single row group. Unset: as scanned.
-SCAN_PARTITIONS = "spark.triagelake.scanPartitions"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -53,12 +49,15 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out anew where their scan has fewer tasks than the session has cores, as files of a single row group do; else as scanned."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as (id, title, body, lang, source): the first line is the title."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    partitions = spark.conf.get(SCAN_PARTITIONS, None)
-    if partitions:
-        d = d.repartition(int(partitions), "doc_id")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     return d.select(
         F.col("doc_id").alias("id"), F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("body"),
         "lang", "source",
