@@ -5,6 +5,9 @@ import unicodedata
 
 from triagelake.functions.lexicon import CueSet, Lexicons, lexicon_scores, lexicon_scores_by_join, lexicon_table, sentinel_text
 from triagelake.functions.text import NFKC_BLOCKS, char_wb_ngrams, prepare_text, tokens, word_ngrams
+from triagelake.operators.tfidf import char_counts
+from triagelake.plans.driver_tables import texts
+from triagelake.registry.queries import QUERIES
 from pyspark.sql import functions as F
 
 
@@ -97,3 +100,24 @@ def test_lexicon_join_equals_literals(spark):
         for name in ("negative", "hazard", "positive"):
             assert got[x["id"], name] == x[f"{name}_score"], (texts[x["id"]], name)
     assert any(got[i, "hazard"] > 2 for i in range(len(texts)))
+
+
+def many_files(spark, folder):
+    """Documents in more files than cores, which are not dealt out by id on reading; an id twice, and null ids."""
+    rows = [(None if i % 7 == 0 else i % 50, f"line {i % 3}\nred tea red cup {i % 5}", "en", "web", 20) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(20).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def term_shuffles(df):
+    """Shuffles by document and term: they send every term of every document."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"hashpartitioning\(id#\d+L?, (?:term|word)#", plan)
+
+
+def test_char_ngrams_sends_texts_and_not_their_terms(spark, tmp_path):
+    found = QUERIES["char_ngrams"](spark, many_files(spark, tmp_path))
+    assert term_shuffles(found) == []
+    d = texts(spark, str(tmp_path)).select("id", "text")
+    plain = char_counts(d, ["id"]).groupBy("term").agg(F.sum("tf").alias("total_tf"), F.count("*").alias("df"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
