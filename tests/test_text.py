@@ -5,7 +5,7 @@ import unicodedata
 
 from triagelake.functions.lexicon import CueSet, Lexicons, lexicon_scores, lexicon_scores_by_join, lexicon_table, sentinel_text
 from triagelake.functions.text import NFKC_BLOCKS, char_wb_ngrams, prepare_text, tokens, word_ngrams
-from triagelake.operators.tfidf import char_counts
+from triagelake.operators.tfidf import char_counts, term_counts, terms_of
 from triagelake.plans.driver_tables import texts
 from triagelake.registry.queries import QUERIES
 from pyspark.sql import functions as F
@@ -121,3 +121,11 @@ def test_char_ngrams_sends_texts_and_not_their_terms(spark, tmp_path):
     d = texts(spark, str(tmp_path)).select("id", "text")
     plain = char_counts(d, ["id"]).groupBy("term").agg(F.sum("tf").alias("total_tf"), F.count("*").alias("df"))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_tfidf_vocabulary_sends_texts_and_not_their_terms(spark, tmp_path):
+    found = QUERIES["tfidf_vocabulary"](spark, many_files(spark, tmp_path)).drop("idf")
+    assert term_shuffles(found) == []
+    d = texts(spark, str(tmp_path)).select("id", "text")
+    plain = term_counts(d, ["id"], terms_of(F.col("text"))).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total_tf"))
+    assert sorted(map(tuple, found.select("term", "df", "total_tf").collect())) == sorted(map(tuple, plain.collect()))
