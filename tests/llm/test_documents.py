@@ -166,6 +166,22 @@ def test_group_join_between_many_components(spark):
     same(group_join.linked(table_of(spark, rows)).collect(), brute_components(rows))
 
 
+def test_large_group_meets_others_by_its_few_strays(spark):
+    """Group 1 has 300 classes of component 1 and one of its own; 40 more groups of component 1: only the stray meets them."""
+    bits = {b: 0 for b in group_join.BITMAP}
+    rows = [{"g": 1, "k": k, "n": 20, "root": 1, **bits} for k in range(1, 301)] + [{"g": 1, "k": 301, "n": 20, "root": 301, **bits}]
+    rows += [{"g": g, "k": 1000 + g, "n": 20, "root": 1, **bits} for g in range(2, 42)]
+    rooted = spark.createDataFrame(rows, "g long, k long, n long, root long, " + ", ".join(f"{b} long" for b in group_join.BITMAP))
+    pairs = spark.createDataFrame([(1, g) for g in range(1, 42)], "ga long, gb long")
+    parts = group_join.open_parts(pairs, rooted)
+    expanded = parts.join(rooted.selectExpr("g AS gx", "root AS rx", "k"), ["gx", "rx"])
+    assert expanded.where("gx <> gy").count() == 40
+    assert expanded.where("gx = gy").count() == 300
+    found = {frozenset((r.a, r.b)) for r in group_join.open_classes(pairs, rooted).collect()}
+    want = {frozenset((301, k)) for k in [*range(1, 301), *range(1002, 1042)]}
+    assert found == want
+
+
 def test_one_of_each_group_stays(docs):
     kept = group_join.representatives(docs)
     assert kept.columns == docs.columns

@@ -53,6 +53,8 @@ PARITY = 1024
 EARLY = 4
 #: Members that one copy of their partner's text is compared with.
 MEMBERS = 256
+#: Bytes of text of either side that are compared at once.
+COMPARED = 1 << 20
 #: Parts of a frequent element's entries.
 SPREAD = 64
 #: Sizes of one bucket lie within this ratio. It exceeds DEN / NUM, so sizes that fit are in one or in neighbouring buckets.
@@ -262,8 +264,8 @@ def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> Data
     both = with_a.join(partners, ["rb", "block"]).select("a", "b", "ta", "tb")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for half in K.slices(batches, 2):
-            for batch in K.slices(iter([half]), 3):
+        for half in K.slices(batches, 2, COMPARED):
+            for batch in K.slices(iter([half]), 3, COMPARED):
                 (x, x_at), (y, y_at) = (shingle_sets(batch.column(c)) for c in (2, 3))
                 x_rows, y_rows = K.rows_of(x_at), K.rows_of(y_at)
                 key, at, _ = np.intersect1d(x ^ K.mixed(x_rows + 1), y ^ K.mixed(y_rows + 1), assume_unique=True, return_indices=True)
@@ -301,12 +303,23 @@ def open_groups(entries: DataFrame, groups: DataFrame, rooted: DataFrame) -> Dat
     return met.select(F.least("x.g", "y.g").alias("ga"), F.greatest("x.g", "y.g").alias("gb")).distinct().union(own)
 
 
+def open_parts(pairs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """Pairs of groups -> (gx, rx, gy, ry): their pairs of different components."""
+    parts = rooted.select("g", "root").distinct()
+    part = lambda side: parts.select(F.col("g").alias(f"g{side}"), F.col("root").alias(f"r{side}"))
+    met = pairs.select(F.col("ga").alias("gx"), F.col("gb").alias("gy")).join(part("x"), "gx").join(part("y"), "gy")
+    return met.where("rx <> ry AND (gx <> gy OR rx < ry)")
+
+
 def open_classes(pairs: DataFrame, rooted: DataFrame) -> DataFrame:
-    """Pairs of groups -> (a, b, differ): their pairs of classes of different components that the bitmaps don't rule out."""
-    of = lambda side: rooted.select(F.col("g").alias(f"g{side}"), F.struct("k", "n", "root", *BITMAP).alias(side))
+    """Pairs of groups -> (a, b, differ): their pairs of classes of different components that the bitmaps don't rule out.
+
+    Groups meet by component first, so only the classes outside the partner's component are expanded.
+    """
+    of = lambda side: rooted.select(F.col("g").alias(f"g{side}"), F.col("root").alias(f"r{side}"), F.struct("k", "n", *BITMAP).alias(side))
     differ = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in BITMAP)
-    ends = pairs.select(F.col("ga").alias("gx"), F.col("gb").alias("gy")).join(of("x"), "gx").join(of("y"), "gy")
-    ends = ends.where(f"x.root <> y.root AND (gx <> gy OR x.k < y.k) AND {DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)")
+    ends = open_parts(pairs, rooted).join(of("x"), ["gx", "rx"]).join(of("y"), ["gy", "ry"])
+    ends = ends.where(f"{DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)")
     return ends.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.expr(differ).alias("differ"))
 
 
