@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import pairwise
 
+import numpy as np
 import pytest
 
 pytest.importorskip("triagelake.llm")
@@ -182,6 +184,65 @@ def test_large_group_meets_others_by_its_few_strays(spark):
     assert found == want
 
 
+def test_changed_copies_meet_their_source_first(spark, monkeypatch):
+    """40 copies of a text, each unlike every other but like the text: linked in the first round, so no pairs of copies are made."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [base] + [[f"own{c}x{i}" if i in (20 + c, 80 + c, 140 + c) else w for i, w in enumerate(base)] for c in range(40)]
+    rows = [(i, " ".join(t), "en", "a", 0, *["x"] * 10) for i, t in enumerate(texts[1:] + texts[:1])]
+    made, parts = [], group_join.open_parts
+
+    def counted(*given):
+        out = parts(*given)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(group_join, "open_parts", counted)
+    same(group_join.linked(table_of(spark, rows)).collect(), brute_components(rows))
+    assert sum(made) <= 40
+
+
+def test_long_texts_that_cannot_link_are_not_sent(spark, monkeypatch):
+    """Five long texts with one half in common are candidates of each other; their bitmaps alone rule them out."""
+    half = [f"w{i}" for i in range(1500)]
+    texts = [half + [f"own{c}x{i}" for i in range(1500)] for c in range(5)]
+    rows = [(i, " ".join(t), "en", "a", 0, *["x"] * 10) for i, t in enumerate([*texts, [*texts[0][:-30], "end"]])]
+    asked, verified = [], group_join.verified
+
+    def counted(documents, pairs, classes):
+        asked.append(pairs.count())
+        return verified(documents, pairs, classes)
+
+    monkeypatch.setattr(group_join, "verified", counted)
+    same(group_join.linked(table_of(spark, rows)).collect(), brute_components(rows))
+    assert sum(asked) == 1
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(5)
+    pool = np.unique(rng.integers(0, 1 << 63, 9000).astype(np.uint64))
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (257, 300, 511, 512, 513, 2000, 5000)] + [pool[:100]]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    wide = group_join.wide_bitmaps(np.concatenate(sets), at)
+    assert wide[-1] is None and all(2 * len(x) <= 8 * len(w) < 4 * len(x) + 1 for x, w in zip(sets, wide[:-1]))
+    for x, w in zip(sets, wide[:-1]):
+        for y, v in zip(sets, wide[:-1]):
+            assert group_join.differing(w, v) <= len(np.setxor1d(x, y))
+            assert group_join.differing(w, v) == group_join.differing(v, w)
+
+
+def test_writing_leaves_no_shuffle_files(spark):
+    from triagelake.llm.shared import CLEANUP, written
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = {str(f) for f in disk.getAllFiles().mkString("\n").split("\n")}
+    table = written(spark.range(200000).repartition(8, "id"), "shuffled")
+    deadline = time.monotonic() + 10
+    while (left := set(disk.getAllFiles().mkString("\n").split("\n")) - before) and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not {f for f in left if "shuffle" in f}
+    assert table.count() == 200000 and spark.conf.get(CLEANUP) == "false"
+
+
 def test_one_of_each_group_stays(docs):
     kept = group_join.representatives(docs)
     assert kept.columns == docs.columns

@@ -5,14 +5,17 @@ rare shingles first (shingles seen often come last, in order of their counts, so
 a set of n elements has a prefix of n - ceil(t * n) + 1, and sets that reach similarity t share an element of their prefixes.
 Classes with identical prefix and size form a group, and the prefix index holds groups:
 
-1. every group meets one partner, the smallest group of the index entry that they share most often; its classes are verified
-   against that partner's first class, and classes inside a group against the group's first class;
+1. every group meets one partner, that of the index entries that they share most often; its classes are verified against that
+   partner's first class, and classes inside a group against the group's first class. An entry's partner is the group with the
+   most elements after the shared one: copies with changes of their own have those before the shared elements, the text they
+   were made from has not;
 2. what those links have connected needs no further look: only pairs that stand in one index entry but in different
    components remain. They are found between groups: of an entry's components the one with the most groups only meets the
    other ones' groups, so an entry costs little more than its pairs between components. Pairs of groups pass the size and
    position filters, a pair known to share an earlier prefix element is left to that element's entry, and each pair is kept
    once. Expanded to classes, they pass a bound by bitmaps: a set is folded into PARITY bits, each the parity of the elements
-   that fall on it, and two sets differ in as many elements at least as their bitmaps in bits;
+   that fall on it, and two sets differ in as many elements at least as their bitmaps in bits. PARITY bits say little about
+   long sets, so those have a second bitmap whose width grows with the set; a wider one folds to the width of the other;
 3. of these pairs each class first verifies the one with the fewest differing bits, and then all that are still in different
    components are verified.
 
@@ -48,6 +51,8 @@ NUM, DEN = 4, 5
 FREQUENT, REPORTED, CHUNK, OFTEN = 1 << 16, 1 << 13, 1 << 22, 8
 #: Bits of a set's bitmap, in words of 64.
 PARITY = 1024
+#: Sets of more elements have a bitmap of their own width too, of 2 to 4 bits an element; rows whose bitmaps are made at once.
+LONG, MAPPED = 256, 512
 #: Prefix elements that rows carry with their positions, to see whether a pair meets in an earlier entry: the first frequent
 #: ones, as a text's own rare shingles are in no other prefix, else the first of all.
 EARLY = 4
@@ -160,9 +165,31 @@ class Order:
 
 def bitmaps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     """PARITY / 64 words for each row: the parities of its elements by place."""
-    places = (K.mixed(sets + np.uint64(5)) % np.uint64(PARITY)).astype(np.int64)
-    counts = np.bincount(K.rows_of(at) * PARITY + places, minlength=(len(at) - 1) * PARITY)
-    return np.packbits((counts & 1).astype(np.uint8).reshape(-1, PARITY), axis=1, bitorder="little").view(np.int64)
+    out = np.zeros((len(at) - 1, PARITY // 64), np.int64)
+    for low in range(0, len(out), MAPPED):
+        own = at[low : low + MAPPED + 1]
+        places = (K.mixed(sets[own[0] : own[-1]] + np.uint64(5)) % np.uint64(PARITY)).astype(np.int64)
+        counts = np.bincount(K.rows_of(own - own[0]) * PARITY + places, minlength=(len(own) - 1) * PARITY)
+        out[low : low + MAPPED] = np.packbits((counts & 1).astype(np.uint8).reshape(-1, PARITY), axis=1, bitorder="little").view(np.int64)
+    return out
+
+
+def wide_bitmaps(sets: np.ndarray, at: np.ndarray) -> list[bytes | None]:
+    """The same for sets of over LONG elements, as wide as the power of two from twice their size on; None for shorter ones."""
+    out: list[bytes | None] = []
+    for low, high in zip(at[:-1].tolist(), at[1:].tolist()):
+        width = 1 << (2 * (high - low) - 1).bit_length() if high - low > LONG else 0
+        places = (K.mixed(sets[low:high] + np.uint64(5)) & np.uint64(width - 1)).astype(np.int64) if width else None
+        out.append(np.packbits((np.bincount(places, minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes() if width else None)
+    return out
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ, at the width of the narrower one."""
+    a, b = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _keys(order: Order, column: pa.Array) -> tuple:
@@ -177,7 +204,7 @@ FIRST = [f"{c}{i}" for i in range(EARLY) for c in "fp"]
 
 
 def classified(documents: DataFrame, order: Order) -> DataFrame:
-    """(doc_id, r, n, k, g, b0...): set size, class, group, bitmap and first prefix elements of each document; k and g are null for empty sets."""
+    """(doc_id, r, n, k, g, b0..., wide): set size, class, group, bitmaps and first prefix elements of each document; k and g are null for empty sets."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in K.slices(batches, 2):
@@ -192,9 +219,9 @@ def classified(documents: DataFrame, order: Order) -> DataFrame:
                 where = np.append(at_chosen, 0)[np.where(none, len(at_chosen), sel[:-1] + i)]
                 token = np.append(prefix, 0).astype(np.uint64)[np.where(none, len(prefix), where)].view(np.int64)
                 first += [(token, none), (where - pre_at[:-1], none)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g)), *map(pa.array, bitmaps(sets, at).T), *(pa.array(x, mask=none) for x, none in first)], names=["doc_id", "r", "n", "k", "g", *BITMAP, *FIRST])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n.astype(np.int64)), *(pa.array(x.view(np.int64), mask=n == 0) for x in (k, g)), *map(pa.array, bitmaps(sets, at).T), *(pa.array(x, mask=none) for x, none in first), pa.array(wide_bitmaps(sets, at), pa.binary())], names=["doc_id", "r", "n", "k", "g", *BITMAP, *FIRST, "wide"])
 
-    return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long, " + ", ".join(f"{b} long" for b in BITMAP + FIRST))
+    return documents.select("doc_id", F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, f"doc_id {dict(documents.dtypes)['doc_id']}, r long, n long, k long, g long, " + ", ".join(f"{b} long" for b in BITMAP + FIRST) + ", wide binary")
 
 
 def prefix_index(documents: DataFrame, order: Order, groups: DataFrame) -> DataFrame:
@@ -223,17 +250,48 @@ def prefix_index(documents: DataFrame, order: Order, groups: DataFrame) -> DataF
 
 
 def shared_entries(index: DataFrame) -> DataFrame:
-    """(token, g, place, partner): entries that several groups share, each once, with their smallest group."""
+    """(token, g, place, partner): entries that several groups share, each once, with the group that has most elements after the token."""
     # one scan for both kinds: a rare token's entries lie together, a frequent one's are dealt over SPREAD parts
     part = F.when(F.col("frequent"), F.pmod("g", F.lit(SPREAD))).otherwise(0).alias("part")
     dealt = index.select("token", part, "g", "place", "frequent").repartition("token", "part")
     together = Window.partitionBy("token", "part")
     once = dealt.groupBy("token", "part", "g").agg(F.first("place").alias("place"), F.first("frequent").alias("frequent"))
-    met = written(once.withColumns({"low": F.min("g").over(together), "high": F.max("g").over(together)}).where("frequent OR low <> high").drop("part"), "join-met")
+    after = F.shiftright("place", 24) - F.col("place").bitwiseAND((1 << 24) - 1)
+    spans = once.withColumns({"low": F.min("g").over(together), "high": F.max("g").over(together), "most": F.max(after).over(together)})
+    central = F.min(F.when(after == F.col("most"), F.col("g"))).over(together)
+    met = written(spans.where("frequent OR low <> high").withColumn("partner", central).drop("part"), "join-met")
     # at most FREQUENT rows: the tokens come from the frequent list
-    ends = met.where("frequent").groupBy("token").agg(F.min("low").alias("partner"), F.max("high").alias("last")).where("partner <> last").select("token", "partner")
-    hot = met.where("frequent").join(F.broadcast(written(ends, "join-ends")), "token")
-    return met.where("NOT frequent").select("token", "g", "place", F.col("low").alias("partner")).union(hot.select("token", "g", "place", "partner"))
+    ends = met.where("frequent").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min(F.struct(-F.col("most"), "partner"))["partner"].alias("partner")).where("low <> high").select("token", "partner")
+    hot = met.where("frequent").drop("partner").join(F.broadcast(written(ends, "join-ends")), "token")
+    return met.where("NOT frequent").select("token", "g", "place", "partner").union(hot.select("token", "g", "place", "partner"))
+
+
+def differ(x: str, y: str) -> str:
+    """Differing bits of two rows' bitmaps of PARITY bits."""
+    return " + ".join(f"bit_count({x}.{b} ^ {y}.{b})" for b in BITMAP)
+
+
+def bounded(x: str, y: str) -> str:
+    """Whether those bitmaps leave a link possible: linked sets differ in at most (DEN - NUM) / (DEN + NUM) of their sizes' sum."""
+    return f"{DEN + NUM} * ({differ(x, y)}) <= {DEN - NUM} * ({x}.n + {y}.n)"
+
+
+def near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """pairs (a, b) of classes -> (a, b, differ): those that the bitmaps of either kind don't rule out, and in how many bits they differ."""
+    of = lambda name, side: classes.select(F.col("k").alias(name), F.struct("n", *BITMAP, "wide").alias(side))
+    met = pairs.select("a", "b").join(of("a", "x"), "a").join(of("b", "y"), "b").where(bounded("x", "y"))
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("wx"), batch.column("wy")
+            n, bits = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "differ"))
+            for i in np.flatnonzero(x.is_valid().to_numpy(zero_copy_only=False) & y.is_valid().to_numpy(zero_copy_only=False)):
+                bits[i] = differing(x[i].as_py(), y[i].as_py())
+            keep = pa.array((DEN + NUM) * bits <= (DEN - NUM) * n)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in (batch.column("a"), batch.column("b"), pa.array(bits))], names=["a", "b", "differ"])
+
+    chosen = met.select("a", "b", F.expr("x.n + y.n").alias("n"), F.expr(differ("x", "y")).cast("long").alias("differ"), F.col("x.wide").alias("wx"), F.col("y.wide").alias("wy"))
+    return chosen.mapInArrow(narrowed, "a long, b long, differ long")
 
 
 def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -281,7 +339,7 @@ LINKED = f"{DEN} * common >= {NUM} * (na + nb - common)"
 def open_groups(entries: DataFrame, groups: DataFrame, rooted: DataFrame) -> DataFrame:
     """(ga, gb): different pairs of groups that may hold a link between components; a group of several components with itself."""
     spans = rooted.groupBy("g").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-    placed = entries.join(spans, "g").select("token", "g", "place", "r1", "r2")
+    placed = written(entries.join(spans, "g").select("token", "g", "place", "r1", "r2"), "join-placed")
     # an entry's components, and of those that groups have to themselves the one with the most groups
     sizes = placed.groupBy("token", "r1").agg(F.max("r2").alias("r2"), F.count_if(F.expr("r1 = r2")).alias("n"))
     mostly = sizes.groupBy("token").agg(F.min("r1").alias("low"), F.max("r2").alias("high"), F.max_by("r1", F.struct("n", "r1")).alias("most")).where("low <> high").select("token", "most")
@@ -317,10 +375,8 @@ def open_classes(pairs: DataFrame, rooted: DataFrame) -> DataFrame:
     Groups meet by component first, so only the classes outside the partner's component are expanded.
     """
     of = lambda side: rooted.select(F.col("g").alias(f"g{side}"), F.col("root").alias(f"r{side}"), F.struct("k", "n", *BITMAP).alias(side))
-    differ = " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in BITMAP)
-    ends = open_parts(pairs, rooted).join(of("x"), ["gx", "rx"]).join(of("y"), ["gy", "ry"])
-    ends = ends.where(f"{DEN + NUM} * ({differ}) <= {DEN - NUM} * (x.n + y.n)")
-    return ends.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.expr(differ).alias("differ"))
+    ends = open_parts(pairs, rooted).join(of("x"), ["gx", "rx"]).join(of("y"), ["gy", "ry"]).where(bounded("x", "y"))
+    return ends.select(F.col("x.k").alias("a"), F.col("y.k").alias("b"), F.expr(differ("x", "y")).alias("differ"))
 
 
 def joined(documents: DataFrame) -> DataFrame:
@@ -328,7 +384,7 @@ def joined(documents: DataFrame) -> DataFrame:
     r of the one document of the component that stays: the smallest doc_id's."""
     order = Order(*frequent_shingles(documents))
     members = written(classified(documents, order), "join-members")
-    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays"), *[F.first(b).alias(b) for b in BITMAP + FIRST]), "join-classes")
+    classes = written(members.where("n > 0").groupBy("k").agg(F.min("g").alias("g"), F.min("n").alias("n"), F.min("doc_id").alias("low"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "r")).alias("stays"), *[F.first(b).alias(b) for b in [*BITMAP, *FIRST, "wide"]]), "join-classes")
     # size and prefix are the group's, so are its first elements
     groups = written(classes.groupBy("g").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.min("n").alias("n"), F.min("stays.r").alias("r"), *[F.first(c).alias(c) for c in FIRST]), "join-groups")
     entries = shared_entries(prefix_index(documents, order, groups))
@@ -340,12 +396,12 @@ def joined(documents: DataFrame) -> DataFrame:
     own = shares.where("g = partner").select("g", "partner")
     best = shares.where("g <> partner").join(first, "partner").where(f"{NUM} * greatest(n, partner_n) <= {DEN} * least(n, partner_n)").groupBy("g").agg(F.max_by("partner", F.struct("times", "partner")).alias("partner"))
     chosen = own.union(best).distinct().join(first, "partner").join(classes.select("g", F.col("k").alias("a")), "g")
-    one = verified(documents, chosen.where("a <> b").select("a", "b").distinct(), classes)
+    one = verified(documents, near(written(chosen.where("a <> b").select("a", "b").distinct(), "join-chosen"), classes).select("a", "b"), classes)
     links = one.where(LINKED).select("a", "b")
     roots = written(components(links), "join-roots")
 
     rooted = written(classes.join(roots, F.col("k") == F.col("node"), "left").select("k", "g", "n", F.coalesce("root", "k").alias("root"), *BITMAP), "join-rooted")
-    pairs = written(open_classes(open_groups(entries, groups, rooted), rooted), "join-open")
+    pairs = written(near(written(open_classes(open_groups(entries, groups, rooted), rooted), "join-bounded"), classes), "join-open")
     best = pairs.groupBy("a").agg(F.min(F.struct("differ", "b"))["b"].alias("b")).union(pairs.groupBy("b").agg(F.min(F.struct("differ", "a"))["a"].alias("a")).select("a", "b")).distinct()
     best = written(best, "join-best")
     links = written(links.union(verified(documents, best, classes).where(LINKED).select("a", "b")), "join-links")
