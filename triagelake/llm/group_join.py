@@ -62,8 +62,8 @@ MEMBERS = 256
 COMPARED = 1 << 20
 #: Parts of a frequent element's entries.
 SPREAD = 64
-#: Sizes of one bucket lie within this ratio. It exceeds DEN / NUM, so sizes that fit are in one or in neighbouring buckets.
-SIZE_RATIO = 1.3
+#: Sizes of one bucket lie within this ratio. A wider one copies a row into fewer buckets and compares more sizes that don't fit.
+SIZE_RATIO = 2.0
 #: Bits of the candidate table (2 MB at most); with more candidates it only lets more classes through.
 BITS = 1 << 24
 
@@ -343,10 +343,15 @@ def open_groups(entries: DataFrame, groups: DataFrame, rooted: DataFrame) -> Dat
     # an entry's components, and of those that groups have to themselves the one with the most groups
     sizes = placed.groupBy("token", "r1").agg(F.max("r2").alias("r2"), F.count_if(F.expr("r1 = r2")).alias("n"))
     mostly = sizes.groupBy("token").agg(F.min("r1").alias("low"), F.max("r2").alias("high"), F.max_by("r1", F.struct("n", "r1")).alias("most")).where("low <> high").select("token", "most")
-    rows = placed.join(mostly, "token").join(groups.select("g", *FIRST), "g")
+    # written between the joins, so that one join's shuffles are gone when the next one's are made
+    rows = placed.join(written(mostly, "join-mostly"), "token").join(groups.select("g", *FIRST), "g")
     n = F.shiftright("place", 24)
-    rows = rows.select("token", "g", "r1", "r2", n.alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), F.expr("r1 <> r2 OR r1 <> most").alias("other"), F.floor(F.log(n) / F.log(F.lit(SIZE_RATIO))).alias("bucket"), *FIRST)
-    x = rows.where("other").withColumn("bucket", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1))).alias("x")
+    bucket = lambda size: F.floor(F.log(size) / F.log(F.lit(SIZE_RATIO)))
+    rows = rows.select("token", "g", "r1", "r2", n.alias("n"), F.col("place").bitwiseAND((1 << 24) - 1).alias("pos"), F.expr("r1 <> r2 OR r1 <> most").alias("other"), bucket(n).alias("bucket"), *FIRST)
+    rows = written(rows, "join-open-entries")
+    # the buckets of the sizes that fit, from the smallest to the largest
+    fitting = F.sequence(bucket(F.expr(f"(n * {NUM} + {DEN - 1}) div {DEN}")), bucket(F.expr(f"n * {DEN} div {NUM}")))
+    x = rows.where("other").withColumn("bucket", F.explode(fitting)).alias("x")
     y = rows.alias("y")
     earlier = " OR ".join(f"(x.p{i} < x.pos AND y.p{j} < y.pos AND x.f{i} = y.f{j})" for i in range(EARLY) for j in range(EARLY))
     met = x.join(y, F.expr(f"""
