@@ -60,6 +60,8 @@ EARLY = 4
 MEMBERS = 256
 #: Bytes of text of either side that are compared at once.
 COMPARED = 1 << 20
+#: Bytes of text whose sets are made at once in a scan; the work arrays are many times as large.
+SCANNED = 1 << 20
 #: Parts of a frequent element's entries.
 SPREAD = 64
 #: Sizes of one bucket lie within this ratio. A wider one copies a row into fewer buckets and compares more sizes that don't fit.
@@ -106,16 +108,19 @@ def frequent_shingles(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         held: list[np.ndarray] = []
 
         def report() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            values = np.concatenate(held)
+            held.clear()
+            values.sort()  # in place: a chunk's copies would be the largest arrays of the scan
+            first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+            counts = np.diff(np.append(first, len(values)))
             often = np.flatnonzero(counts >= OFTEN)
             often = often[np.argsort(-counts[often], kind="stable")[:REPORTED]]
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["h", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(values[first[often]].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["h", "n"])
 
-        for batch in K.slices(batches, 0):
+        for batch in K.slices(batches, 0, SCANNED):
             held.append(shingle_sets(batch.column(0))[0])
             if sum(map(len, held)) >= CHUNK:
                 yield report()
-                held.clear()
         if held:
             yield report()
 
@@ -207,7 +212,7 @@ def classified(documents: DataFrame, order: Order) -> DataFrame:
     """(doc_id, r, n, k, g, b0..., wide): set size, class, group, bitmaps and first prefix elements of each document; k and g are null for empty sets."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in K.slices(batches, 2):
+        for batch in K.slices(batches, 2, SCANNED):
             k, g, n, prefix, pre_at, frequent, sets, at = _keys(order, batch.column(2))
             rows = K.rows_of(pre_at)
             chosen = frequent | (K.segment_sums(frequent, pre_at) == 0)[rows]
@@ -234,7 +239,7 @@ def prefix_index(documents: DataFrame, order: Order, groups: DataFrame) -> DataF
         for whole in batches:
             rows = whole.column(0).to_numpy(zero_copy_only=False)
             chosen = whole.take(pa.array(np.flatnonzero(maybe_in(only.value, rows.view(np.uint64))), pa.int64()))
-            for batch in K.slices(iter([chosen]), 1):
+            for batch in K.slices(iter([chosen]), 1, SCANNED):
                 _, g, n, prefix, pre_at, frequent, *_ = _keys(order, batch.column(1))
                 new = np.zeros(len(n), bool)
                 for i in np.flatnonzero(n):
