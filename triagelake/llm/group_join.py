@@ -318,7 +318,8 @@ def verified(documents: DataFrame, pairs: DataFrame, classes: DataFrame) -> Data
             if keep:
                 yield batch.take(pa.array(keep, pa.int64()))
 
-    texts = documents.select(F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, "r long, text string")
+    # written, so that the documents are read once for both sides, and no task has this Python map and the comparing one at a time
+    texts = written(documents.select(F.xxhash64("doc_id", "text").alias("r"), "text").mapInArrow(scan, "r long, text string"), "join-texts")
     # members travel to their partner, whose text is there once a block
     blocks = pairs.groupBy("rb").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
     dealt = pairs.join(blocks, "rb").select("a", "b", "ra", "rb", F.pmod(F.xxhash64("ra"), "blocks").alias("block"))
