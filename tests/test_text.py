@@ -129,3 +129,16 @@ def test_tfidf_vocabulary_sends_texts_and_not_their_terms(spark, tmp_path):
     d = texts(spark, str(tmp_path)).select("id", "text")
     plain = term_counts(d, ["id"], terms_of(F.col("text"))).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total_tf"))
     assert sorted(map(tuple, found.select("term", "df", "total_tf").collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_words_meet_a_small_lexicon_where_the_text_lies(spark):
+    """Neither words nor seams are sent by term, and a text's different pairs are compared as strings, not as structs."""
+    texts = [(1, "not good and bad bad"), (2, "very good good food"), (3, ""), (4, None), (5, "oo dfo good")]
+    df = spark.createDataFrame(texts, "id long, text string")
+    table = spark.createDataFrame([("p", "good", False, 1), ("n", "bad", False, 1), ("p", "od fo", True, 2), ("p", "good good", True, 2), ("n", "d ba", True, 2)], "lexicon string, cue string, is_phrase boolean, weight int")
+    out = lexicon_scores_by_join(df, table, ["not"])
+    assert {(r["id"], r["lexicon"]): r["score"] for r in out.collect()} == {
+        (1, "p"): 0, (1, "n"): 4, (2, "p"): 6, (2, "n"): 0, (3, "p"): 0, (3, "n"): 0, (4, "p"): 0, (4, "n"): 0, (5, "p"): 1, (5, "n"): 0,
+    }
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(cue" not in plan and "hashpartitioning(seam" not in plan and "arrays_zip" not in plan
